@@ -7,21 +7,37 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from siftlode.llm.license_scan import scan_licenses
 from siftlode.llm.line_dedup import dedup_lines
+from siftlode.llm.media_jpeg import media_columns
 from siftlode.llm.mixing import mix
 from siftlode.llm.ngram_join import near_duplicates
 from siftlode.llm.packing import pack_documents
+from siftlode.llm.quality_gam import quality
 from siftlode.llm.toxicity import toxicity
+from siftlode.llm.warc import archived
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_media_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source", "copies")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -34,12 +50,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped", "n_left")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_mixing, op6_packing, op7_toxicity, op8_line_dedup, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_media_jpeg, op2_quality_gam, op4_mixing, op5_license_scan, op6_packing, op7_toxicity, op8_line_dedup, op9_warc, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:

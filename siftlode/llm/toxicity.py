@@ -223,7 +223,7 @@ def score(docs: DataFrame, model: ToxicModel, passages: bool = True) -> DataFram
                 at, marks = hits(model, h)
                 text = np.searchsorted(first + number, at, side="right")
                 cuts = np.flatnonzero(np.diff(text, prepend=-1))
-                for a, z in zip(cuts, [*cuts[1:], len(text)], strict=True):
+                for a, z in zip(cuts, [*cuts[1:], len(text)], strict=False):
                     t = int(text[a])
                     got = segments(at[a:z] - first[t], marks[a:z], model.other)
                     best = max(s for s, _, _ in got)
