@@ -1,21 +1,22 @@
 """Candidate pairs from shared keys, and connected components of verified links.
 
 Keys may be shared by a third of all rows, so a key group is never turned into all of its pairs: its members
-are first compared with one hub, which settles groups of copies, and pairs are enumerated only across the
-components that remain within a group. All steps are joins and map-side combined aggregates.
+are first compared with one hub, which settles groups of copies. The nodes of groups that are still of several
+components then meet on the rarest of their tokens only, as many as similarity demands (prefix filter), so that
+what the members of a group have in common makes no pairs. All steps are joins and map-side combined aggregates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftlode.llm.workspace import Workspace
 
-#: Rounds of hub comparisons before pairs are enumerated across what remains.
-HUB_ROUNDS = 3
+#: The low bits of a key that number its part.
+PART_BITS = 63
 
 
 def connected_components(ws: Workspace, links: DataFrame, name: str) -> DataFrame:
@@ -47,45 +48,54 @@ def connected_components(ws: Workspace, links: DataFrame, name: str) -> DataFram
             return labels
 
 
-def link_components(ws: Workspace, members: DataFrame, verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def link_components(
+    ws: Workspace,
+    members: DataFrame,
+    verify: Callable[[DataFrame, str], DataFrame],
+    tokens: Callable[[DataFrame, str], DataFrame],
+    overlap: Callable[[Column, Column], Column],
+    spare: DataFrame | None = None,
+) -> DataFrame:
     """Components of the nodes whose keys meet and whose pairs ``verify`` confirms.
 
     members: ``(key, node)``, longs. verify: from distinct ``(a, b)`` and a name to the linked ones among them.
-    Returns ``(node, comp)`` for the nodes that link with any other.
+    tokens: from ``(node)`` and a name to ``(node, token, prefix, size)``, such that two linked nodes share one of the first
+    ``prefix`` of their ``size`` tokens in any common order; overlap: how many they share at least, from their sizes. spare: ``(node, part, spare)`` for keys with their part in the low bits: of a node's keys
+    of a part, so many can be left out, and the most frequent ones are. Returns ``(node, comp)`` for the nodes that link with any
+    other.
     """
-    groups = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
-    shared = ws.write(members.join(groups, "key").select("key", "node"), "shared")
-    links = labels = tried = None
-    for step in range(HUB_ROUNDS + 1):
-        if labels is None:
-            open_ = shared.withColumn("comp", F.col("node"))
-        else:
-            marked = shared.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-            unsettled = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-            open_ = ws.write(marked.join(unsettled, "key").select("key", "node", "comp"), f"open-{step}")
-        sizes = open_.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key")
-        sizes = sizes.agg(F.sum("n").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("same"))
-        rows, across = sizes.agg(F.sum("n"), F.sum((F.col("n").cast("double") * F.col("n") - F.col("same")) / 2)).first()
-        if not rows:
-            break
-        whole = step == HUB_ROUNDS or across <= 2 * rows
-        if whole:
-            left, right = open_.toDF("key", "a", "ca"), open_.toDF("key", "b", "cb")
-            pairs = left.join(right, "key").filter("ca <> cb and a < b").select("a", "b").distinct()
-        else:
-            # the hub changes with each round
-            hubs = open_.groupBy("key").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(step)) if step else F.col("node")).alias("hub"))
-            pairs = open_.join(hubs, "key").filter("comp <> hub.comp").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = ws.write(pairs, f"pairs-{step}")
-        found = ws.write(verify(pairs, str(step)), f"links-{step}")
-        links = found if links is None else links.union(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        labels = connected_components(ws, links, f"comps-{step}")
-        if whole:
-            break
+    groups = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", "n")
+    shared = ws.write(members.join(groups, "key").select("key", "node", "n"), "met")
+    # the node that meets the most others is the likeliest centre of a group of copies
+    weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
+    if spare is not None:
+        frequent_first = Window.partitionBy("node", "part").orderBy(F.desc("n"), "key")
+        ranked = shared.withColumn("part", F.col("key").bitwiseAND(PART_BITS)).withColumn("rank", F.row_number().over(frequent_first))
+        shared = ranked.join(spare, ["node", "part"], "left").filter(F.col("rank") > F.coalesce("spare", F.lit(0)))
+    shared = ws.write(shared.join(weights, "node").select("key", "node", "weight"), "shared")
+    ws.drop("met")
+    hubs = shared.groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
+    pairs = shared.join(hubs, "key").filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    tried = ws.write(pairs, "pairs-0")
+    links = ws.write(verify(tried, "0"), "links-0")
+    labels = connected_components(ws, links, "comps-0")
+
+    marked = shared.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    unsettled = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
+    open_ = ws.write(marked.join(unsettled, "key").select("node", "comp").distinct(), "open")
     ws.drop("shared")
-    if labels is None:
-        return ws.spark.createDataFrame([], "node long, comp long")
-    return labels
+    if not open_.limit(1).count():
+        return labels
+    own = ws.write(tokens(open_.select("node"), "open"), "tokens")
+    often = own.groupBy("token").agg(F.count("*").alias("n"))
+    rarest = Window.partitionBy("node").orderBy("n", "token")
+    first = own.join(often, "token").withColumn("rank", F.row_number().over(rarest)).filter("rank <= prefix and n > 1")
+    first = ws.write(first.join(open_, "node").select("token", "node", "comp", F.col("size") - F.col("rank") + 1, "size"), "prefixes")
+    ws.drop("tokens")
+    # behind the first token that two nodes share, so many of each are left
+    room = F.least("ra", "rb") >= overlap(F.col("na"), F.col("nb"))
+    both = first.toDF("token", "a", "ca", "ra", "na").join(first.toDF("token", "b", "cb", "rb", "nb"), "token")
+    pairs = both.filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & room).select("a", "b").distinct()
+    pairs = ws.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs-1")
+    more = ws.write(verify(pairs, "1"), "links-1")
+    return connected_components(ws, links.union(more), "comps-1") if more.limit(1).count() else labels

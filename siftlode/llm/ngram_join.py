@@ -3,11 +3,12 @@
 A document's set holds its distinct word shingles as 64-bit hashes. Two sets with Jaccard similarity of at
 least ``num/den`` differ in at most D = s(den - num) // (den + num) shingles, s being the sum of their sizes.
 The sketch of a set is a row of 64-bit parity words: every shingle is XORed into the word its hash selects, so
-the number of words in which two sketches differ never exceeds the symmetric difference. With more than D
-words, two linked sets agree in one word at least (pigeonhole). Sketches are made per band of D, from a
-geometric ladder, and joined on (band, word position, word). Two sets could agree only in words that are
-empty in both; this needs at most D non-empty words in each, and sets with so few also emit the prefix of
-their sorted hashes, which is complete by itself. Candidates are verified on the whole sets.
+the number of words in which two sketches differ never exceeds the symmetric difference. Of K non-empty words
+of a sketch, a linked one has at least K - D (pigeonhole), so that each needs only the D + 1 of its words that
+are rarest in the corpus: the K - D - 1 most frequent ones, such as those holding nothing but a passage that
+many documents share, are spared. Sketches are made per band of D, from a geometric ladder, and joined on
+(band, word position, word). A set with D non-empty words or fewer emits, besides, the prefix of its sorted
+hashes, which is complete by itself. Candidates are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftlode.llm import textvec as tv
-from siftlode.llm.components import link_components
+from siftlode.llm.components import PART_BITS, link_components
 from siftlode.llm.workspace import Workspace, checked_join
 
 _U = np.uint64
@@ -26,6 +27,8 @@ _U = np.uint64
 LADDER = 1.6
 _SHORT = _U(0xD6E8FEB86659FD93)
 _WEIGH = _U(0x9E3779B97F4A7C15)
+#: Bits of a key that hold its band; no band has the number 0.
+PART = _U(PART_BITS)
 
 
 def ladder() -> list[int]:
@@ -69,45 +72,52 @@ def digest(u: np.ndarray) -> int:
     return int((tv.mix(u ^ _SHORT).sum(dtype=_U) + _U(len(u))).view(np.int64))
 
 
-def band_keys(u: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Join keys of a set: the words of its sketch in each band where a partner could be."""
+def band_keys(u: np.ndarray, num: int, den: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Join keys of a set: the words of its sketch in each band where a partner could be, the band in the low
+    bits; and (band, number of words that can be spared) where there are any."""
     n = len(u)
     bound = lambda m: (n + m) * (den - num) // (den + num)
     bands = np.searchsorted(_CAPS, [bound(-(-n * num // den)), bound(n * den // num)])
     mixed, high, keys, few = tv.mix(u), u >> _U(32), [], False
+    spare = []
     for j in range(max(1, bands[0]), bands[1] + 1):  # band 0 holds equal sets alone
         cap = int(_CAPS[j])
-        words = _U((cap + 1) * 105 // 100 + 2)
+        words = _U((cap + 1) * 105 // 100 + 3)
         slot = (high * words) >> _U(32)  # ascends with u
         at = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
         parity = np.bitwise_xor.reduceat(mixed, at)
-        keys.append(tv.mix(parity + tv.mix(slot[at] + (_U(j) << _U(48)) + _U(1))))
+        keys.append((tv.mix(parity + tv.mix(slot[at] + (_U(j) << _U(48)) + _U(1))) & ~PART) | _U(j))
         few |= len(at) <= cap
+        if len(at) > cap + 1:
+            spare.append((j, len(at) - cap - 1))
     if few:
-        keys.append(tv.mix(u[: n - -(-n * num // den) + 1] ^ _WEIGH))
-    return np.concatenate(keys) if keys else np.empty(0, _U)
+        keys.append(tv.mix(u[: n - -(-n * num // den) + 1] ^ _WEIGH) & ~PART)
+    return (np.concatenate(keys) if keys else np.empty(0, _U)), spare
 
 
 def sketches(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, node, keys) per row; node, the digest of the set, is null for an empty one."""
+    """(doc_id, n_shingles, node, keys, spare) per row; node, the digest of the set, is null for an empty one."""
 
     def run(batches):
         for b in batches:
             rows = b.num_rows
             n, node, some = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros(rows, bool)
             keys: list[np.ndarray] = []
+            spare: list[list] = [[]] * rows
             sizes = np.zeros(rows, np.int64)
             for row, u in shingle_sets(b.column(1), k):
                 n[row], node[row], some[row] = len(u), digest(u), True
-                got = band_keys(u, num, den)
+                got, spare[row] = band_keys(u, num, den)
                 keys.append(got)
                 sizes[row] = len(got)
             flat = tv.signed(np.concatenate(keys)) if keys else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n), pa.array(node, mask=~some), tv.list_array(flat, sizes, pa.int64())], ["doc_id", "n_shingles", "node", "keys"]
-            )
+                [b.column(0), pa.array(n), pa.array(node, mask=~some), tv.list_array(flat, sizes, pa.int64()), pa.array([[{"part": j, "spare": x} for j, x in row] for row in spare], kind)],
+                ["doc_id", "n_shingles", "node", "keys", "spare"],
+            )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, keys array<long>")
+    kind = pa.list_(pa.struct([("part", pa.int64()), ("spare", pa.int64())]))
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, keys array<long>, spare array<struct<part: long, spare: long>>")
 
 
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
@@ -158,19 +168,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = ws.write(sketches(base, k, num, den), "sketches")
     heads = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    keyed = rows.join(heads, ["node", "doc_id"], "left_semi").select(F.explode("keys").alias("key"), "node")
+    chosen = rows.join(heads, ["node", "doc_id"], "left_semi")
+    keyed = chosen.select(F.explode("keys").alias("key"), "node")
+    spare = chosen.select("node", F.inline("spare")).distinct()
 
-    def verify(pairs: DataFrame, step: str) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    def sets(nodes: DataFrame, step: str) -> DataFrame:
         wanted = ws.write(heads.join(nodes, "node", "left_semi"), f"wanted-{step}")
         found = checked_join(base, wanted.select("doc_id").distinct(), "doc_id", "left_semi", wanted.count())
-        sets = sets_of(found, k).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
-        sets = ws.write(sets, f"sets-{step}")
-        left = sets.select(F.col("node").alias("a"), F.col("grams").alias("left_grams"))
-        right = sets.select(F.col("node").alias("b"), F.col("grams").alias("right_grams"))
+        return sets_of(found, k).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+
+    def verify(pairs: DataFrame, step: str) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        grams = ws.write(sets(nodes, step), f"sets-{step}")
+        left = grams.select(F.col("node").alias("a"), F.col("grams").alias("left_grams"))
+        right = grams.select(F.col("node").alias("b"), F.col("grams").alias("right_grams"))
         return overlapping(pairs.join(left, "a").join(right, "b").select("a", "b", "left_grams", "right_grams"), num, den)
 
-    labels = link_components(ws, keyed, verify)
+    def tokens(nodes: DataFrame, step: str) -> DataFrame:
+        # a linked set has num/den of this one's shingles at least
+        n = F.size("grams")
+        return sets(nodes, step).select("node", F.explode("grams").alias("token"), (n - F.ceil(n * F.lit(num) / F.lit(den)) + 1).alias("prefix"), n.alias("size"))
+
+    def overlap(n, m):
+        return F.ceil((n + m) * F.lit(num) / F.lit(num + den))
+
+    labels = link_components(ws, keyed, verify, tokens, overlap, spare)
     named = heads.join(labels, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp"))
     lowest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     names = named.join(lowest, "comp").select("node", "component_id")
