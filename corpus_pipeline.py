@@ -2,7 +2,7 @@
 
 toxicity (7): documents with a toxic verdict go. line_dedup (8): repeated and near-repeated lines go, and
 documents that lose all their words by it. ngram_join (10): of each group of near-duplicates the document with
-the smallest id stays, with the smallest text among equal ids. mixing (4): documents are repeated or left out towards their source's target.
+the smallest id stays, and rows that repeat id and text stay or go together. mixing (4): documents are repeated or left out towards their source's target.
 packing (6): the words left, as token ids, in sequences of 1024.
 """
 
@@ -17,7 +17,7 @@ from siftlode.llm.mixing import mixed_documents
 from siftlode.llm.ngram_join import near_duplicates
 from siftlode.llm.packing import pack_documents
 from siftlode.llm.toxicity import fit, score
-from siftlode.llm.workspace import Workspace
+from siftlode.llm.workspace import Workspace, checked_join
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Verdicts at and above this score are toxic.
@@ -37,8 +37,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row whose id names its component stays; rows without an id stay where no other names their component."""
-    classes = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.alias("d").join(classes.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
+    ws = Workspace(spark, "pipeline-groups")
+    named = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = ws.write(named.select(F.col("doc_id").alias("named")).distinct(), "named")
+    on = F.col("doc_id").eqNullSafe(F.col("named"))
+    kept = checked_join(docs, named, on, "left_semi", named.count())
     return kept.select(*COLUMNS)
 
 

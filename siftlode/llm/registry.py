@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siftlode.llm.bm25_wand import search
 from siftlode.llm.license_scan import scan_licenses
 from siftlode.llm.line_dedup import dedup_lines
 from siftlode.llm.media_jpeg import media_columns
@@ -30,6 +32,12 @@ def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth document's text as a query against all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search(docs, docs.filter("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source", "copies")
 
@@ -59,7 +67,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media_jpeg, op2_quality_gam, op4_mixing, op5_license_scan, op6_packing, op7_toxicity, op8_line_dedup, op9_warc, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_media_jpeg, op2_quality_gam, op3_bm25_wand, op4_mixing, op5_license_scan, op6_packing, op7_toxicity, op8_line_dedup, op9_warc, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
