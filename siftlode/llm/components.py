@@ -1,8 +1,8 @@
 """Candidate pairs from shared keys, and connected components of verified links.
 
 Keys may be shared by a third of all rows, so a key group is never turned into all of its pairs: its members
-are first compared with one hub, which settles groups of copies. The nodes of groups that are still of several
-components then meet on the rarest of their tokens only, as many as similarity demands (prefix filter), so that
+are first compared with one hub, which settles groups of copies, and those it does not reach with a few others.
+The nodes of groups that are still of several components then meet on the rarest of their tokens only, as many as similarity demands (prefix filter), so that
 what the members of a group have in common makes no pairs. All steps are joins and map-side combined aggregates.
 """
 
@@ -17,6 +17,8 @@ from siftlode.llm.workspace import Workspace
 
 #: The low bits of a key that number its part.
 PART_BITS = 63
+#: Further members of a key group, at most, that those the hub does not reach are compared with.
+DELEGATES = 8
 
 
 def connected_components(ws: Workspace, links: DataFrame, name: str) -> DataFrame:
@@ -80,10 +82,19 @@ def link_components(
     links = ws.write(verify(tried, "0"), "links-0")
     labels = connected_components(ws, links, "comps-0")
 
-    marked = shared.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    unsettled = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
-    open_ = ws.write(marked.join(unsettled, "key").select("node", "comp").distinct(), "open")
+    rest = _unsettled(ws, shared, labels, "rest-0")
     ws.drop("shared")
+    if not rest.limit(1).count():
+        return labels
+    # members beyond the hub's reach meet a few others, of the largest component for the most part
+    met = rest.groupBy("key", F.pmod("node", F.lit(DELEGATES)).alias("slot")).agg(F.min("node").alias("hub")).select("key", "hub")
+    met = met.join(rest.select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), ["key", "hub"])
+    pairs = rest.join(met, "key").filter("comp <> hub_comp").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    more = ws.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs-1")
+    tried = tried.union(more)
+    labels = _merged(ws, labels, ws.write(verify(more, "1"), "links-1"), "comps-1")
+    rest = _unsettled(ws, rest.select("key", "node"), labels, "rest-1")
+    open_ = ws.write(rest.select("node", "comp").distinct(), "open")
     if not open_.limit(1).count():
         return labels
     own = ws.write(tokens(open_.select("node"), "open"), "tokens")
@@ -96,6 +107,24 @@ def link_components(
     room = F.least("ra", "rb") >= overlap(F.col("na"), F.col("nb"))
     both = first.toDF("token", "a", "ca", "ra", "na").join(first.toDF("token", "b", "cb", "rb", "nb"), "token")
     pairs = both.filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & room).select("a", "b").distinct()
-    pairs = ws.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs-1")
-    more = ws.write(verify(pairs, "1"), "links-1")
-    return connected_components(ws, links.union(more), "comps-1") if more.limit(1).count() else labels
+    pairs = ws.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs-2")
+    return _merged(ws, labels, ws.write(verify(pairs, "2"), "links-2"), "comps-2")
+
+
+def _unsettled(ws: Workspace, shared: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """(key, node, comp) of the keys of more than two nodes, not all of one component."""
+    marked = shared.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    keys = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
+    return ws.write(marked.join(keys, "key"), name)
+
+
+def _merged(ws: Workspace, labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """The labels with more links; only the components that these touch are worked on."""
+    if not links.limit(1).count():
+        return labels
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    known = ws.write(labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("comp"))), f"{name}-known")
+    of = lambda end: known.select(F.col("node").alias(end), F.col("comp").alias(f"c{end}"))
+    between = links.join(of("a"), "a").join(of("b"), "b").filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    joined = connected_components(ws, ws.write(between, f"{name}-between"), name).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
+    return ws.write(known.join(joined, "comp", "left").select("node", F.coalesce("whole", "comp").alias("comp")), f"{name}-merged")
