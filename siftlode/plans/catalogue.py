@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftlode.functions import dates, text
+from siftlode.functions import availability, dates, text
 from siftlode.operators import aggregates, changes, joins, ordering, rules, search
 from siftlode.sources.tables import table
 
@@ -382,3 +382,30 @@ _MONTH_PHRASES = {
 def phrase_month(spark, d):
     rows = spark.createDataFrame([(p,) for p in _MONTH_PHRASES], "phrase string")
     return rows.select("phrase", dates.parse_month(F.col("phrase")).alias("month"))
+
+
+_DURATION_PHRASES = {
+    "mindestens 3 Monate": (12, None), "2 bis 5 Wochen": (2, 5), "au moins 8 semaines": (8, None), "2 a 4 mois": (8, 16), "von einem, zwei oder vier Monaten": (4, 16),
+    "ProgrammdauerAb einem MonatLeitungDr.": (4, None), "Programmdauer2-3 Monate": (8, 12), "zwischen zwei und vier Monaten": (8, 16), "three weeks": (3, 3),
+    "Bewerbungen 6 Monate im Voraus": (None, None), "ab August 2027": (None, None), "": (None, None),
+}
+
+
+@query("select * from (values " + ", ".join(f"('{k}', {a or 'null'}, {b or 'null'})" for k, (a, b) in _DURATION_PHRASES.items()) + ") as t(phrase, min_weeks, max_weeks)")
+def phrase_duration(spark, d):
+    rows = spark.createDataFrame([(p,) for p in _DURATION_PHRASES], "phrase string")
+    return rows.select("phrase", availability.duration_weeks(F.col("phrase")).alias("w")).select("phrase", "w.*")
+
+
+_AVAILABILITY_PHRASES = {
+    "ab August 2027": ("available-from", "2027-08", None), "dès le 01.09.2027": ("available-from", "2027-09-01", None), "a partire da ottobre 2027": ("available-from", "2027-10", None),
+    "from March 2028 on": ("available-from", "2028-03", None), "ausgebucht bis Ende 2027": ("fully-booked-until", None, "2027-12"), "fully booked": ("not-specified", None, None),
+    "per sofort": ("available", None, None), "sur demande": ("not-specified", None, None), "Bewerbungen per Post": ("application-only", None, None),
+    "freie Plätze": ("available", None, None), "Kantine": ("not-specified", None, None), "": ("not-specified", None, None),
+}
+
+
+@query("select * from (values " + ", ".join("(" + ", ".join(f"'{x}'" if x is not None else "null" for x in (k, *v)) + ")" for k, v in _AVAILABILITY_PHRASES.items()) + ") as t(phrase, status, available_from, booked_until)")
+def phrase_availability(spark, d):
+    rows = spark.createDataFrame([(p,) for p in _AVAILABILITY_PHRASES], "phrase string")
+    return rows.select("phrase", availability.availability(F.col("phrase")).alias("a")).select("phrase", "a.*")
