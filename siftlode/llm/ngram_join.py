@@ -99,7 +99,7 @@ def sketches(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(doc_id, n_shingles, node, keys, spare) per row; node, the digest of the set, is null for an empty one."""
 
     def run(batches):
-        for b in batches:
+        for b in tv.pieces(batches, 1):
             rows = b.num_rows
             n, node, some = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros(rows, bool)
             keys: list[np.ndarray] = []
@@ -124,7 +124,7 @@ def sets_of(docs: DataFrame, k: int) -> DataFrame:
     """(node, grams) of each row."""
 
     def run(batches):
-        for b in batches:
+        for b in tv.pieces(batches, 1):
             nodes, sets = [], []
             for _, u in shingle_sets(b.column(1), k):
                 nodes.append(digest(u))

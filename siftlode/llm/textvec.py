@@ -32,6 +32,13 @@ def chunks(texts: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.n
         lo = hi
 
 
+def pieces(batches, column: int, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of the batches with about ``limit`` bytes of text each, so that what is made of one stays small."""
+    for b in batches:
+        for lo, hi, *_ in chunks(b.column(column), limit):
+            yield b.slice(lo, hi - lo)
+
+
 def table(members: bytes | range | list[int]) -> np.ndarray:
     """Boolean lookup by byte value."""
     out = np.zeros(256, bool)
