@@ -18,7 +18,7 @@ from siftlode.llm.textvec import mix
 _U = np.uint64
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
 #: Entries of the lookup by hash, and ids kept for it before it starts anew.
-SLOTS, POOL = 1 << 21, 1 << 23
+SLOTS, POOL = 1 << 19, 1 << 21
 
 
 @cache
@@ -175,7 +175,7 @@ _kept: dict[str, np.ndarray] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_kept.get("up", ())) <= n:
         for name, base in (("up", 0x5851F42D4C957F2D), ("down", pow(0x5851F42D4C957F2D, -1, 1 << 64))):
-            p = np.full(max(n, 1 << 21) + 1, base, _U)
+            p = np.full(max(n, 1 << 20) + 1, base, _U)
             p[0] = 1
             _kept[name] = np.multiply.accumulate(p)
     return _kept["up"], _kept["down"]
