@@ -19,6 +19,8 @@ _U = np.uint64
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
 #: Entries of the lookup by hash, and ids kept for it before it starts anew.
 SLOTS, POOL = 1 << 19, 1 << 21
+#: New pieces given to the library at a time.
+BATCH = 1 << 12
 
 
 @cache
@@ -95,14 +97,16 @@ class Encoder:
         """Ids of single pieces: those without white space but for a leading blank go together, a line feed between."""
         plain = [i for i, x in enumerate(texts) if not x.isspace() and len(x.split()) == 1 and x.split()[0] == x.removeprefix(" ")]
         out: list[list[int]] = [[]] * len(texts)
-        if plain and len(self.feed) == 1:
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(texts[i] for i in plain)], add_special_tokens=False)[0].ids, np.int32)
-            cuts = np.flatnonzero(ids == self.feed[0]).tolist()
-            for i, a, b in zip(plain, [-1, *cuts], [*cuts, len(ids)], strict=True):
-                out[i] = ids[a + 1 : b]
-            known = set(plain)
-        else:
-            known = set()
+        known: set[int] = set()
+        if len(self.feed) == 1:
+            # the library's encodings are large, so that few pieces are encoded at a time
+            for lo in range(0, len(plain), BATCH):
+                run = plain[lo : lo + BATCH]
+                ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(texts[i] for i in run)], add_special_tokens=False)[0].ids, np.int32)
+                cuts = np.flatnonzero(ids == self.feed[0]).tolist()
+                for i, a, b in zip(run, [-1, *cuts], [*cuts, len(ids)], strict=True):
+                    out[i] = ids[a + 1 : b]
+            known.update(plain)
         rest = [i for i in range(len(texts)) if i not in known]
         for i, ids in zip(rest, self._library([texts[i] for i in rest]), strict=True):
             out[i] = ids
