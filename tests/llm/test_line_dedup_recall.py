@@ -1,0 +1,66 @@
+"""Line dedup against edit similarity alone: nothing here is taken from the code under test."""
+
+import random
+import re
+from itertools import combinations
+
+import pytest
+from test_line_dedup import slow_distance
+
+from siftlode.llm import line_dedup as ld
+
+ALONE = "฀-໿က-႟ក-៿　-鿿＀-￯\U00020000-\U00033fff"
+WORD = re.compile(rf"[{ALONE}]|[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F{ALONE}]+")
+
+
+def form(line):
+    return tuple(WORD.findall("".join(c.lower() if c < "\x80" else c for c in line)))
+
+
+def brute(rows, least):
+    """Kept lines by row, for rows with different ids; lines of fewer than ``least`` words stay."""
+    forms = sorted({f for _, t in rows for line in t.split("\n") if len(f := form(line)) >= least})
+    parent = {f: f for f in forms}
+
+    def root(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for a, b in combinations(forms, 2):
+        room = max(len(a), len(b)) // 5
+        if abs(len(a) - len(b)) <= room and len(set(a) - set(b)) <= room and len(set(b) - set(a)) <= room and slow_distance(a, b) <= room:
+            parent[root(a)] = root(b)
+    seen, out = set(), {}
+    for key, text in sorted(rows):
+        kept = []
+        for line in text.split("\n"):
+            f = form(line)
+            if len(f) < least or root(f) not in seen:
+                kept.append(line)
+            if len(f) >= least:
+                seen.add(root(f))
+        out[key] = "\n".join(kept)
+    return out
+
+
+def run(spark, rows, **options):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {r.doc_id: r.text for r in ld.dedup_lines(df, **options).collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_similar_line_goes(spark, seed):
+    rng = random.Random(seed)
+    vocabulary = [f"word{i}" for i in range(400)]
+    rows = []
+    for n in [4, 5, 6, 8, 9, 10, 15, 25, 40, 60, 100, 200]:
+        for share in (0.01, 0.02, 0.2, 0.2, 0.25):
+            base = [rng.choice(vocabulary[: rng.choice([8, 400])]) for _ in range(n)]
+            for _ in range(4):
+                line = list(base)
+                for _ in range(max(1, int(share * n))):
+                    at = rng.randrange(len(line))
+                    line[at : at + rng.choice([0, 1, 1, 1])] = rng.choice([[], [rng.choice(vocabulary)], [rng.choice(vocabulary)]])
+                rows.append((len(rows), " ".join(line)))
+    assert run(spark, rows, min_words=2) == brute(rows, 2)
