@@ -64,3 +64,12 @@ def test_every_similar_line_goes(spark, seed):
                     line[at : at + rng.choice([0, 1, 1, 1])] = rng.choice([[], [rng.choice(vocabulary)], [rng.choice(vocabulary)]])
                 rows.append((len(rows), " ".join(line)))
     assert run(spark, rows, min_words=2) == brute(rows, 2)
+
+
+def test_single_words_and_scripts_without_blanks(spark):
+    rng = random.Random(3)
+    han = "".join(rng.sample([chr(c) for c in range(0x4E00, 0x5000)], 60))
+    thai = "".join(rng.choice([chr(c) for c in range(0x0E01, 0x0E2F)]) for _ in range(40))
+    rows = [(0, "one\n" + han + "。"), (1, "One,\ntwo\n--\n"), (2, han[:20] + "一" + han[21:] + "\n--\ntwo"), (3, thai), (4, thai + "\n\U00020001\U00020002 né"), (5, thai[:30] + "né\n\U00020001\U00020002né")]
+    assert form("né漢字\U00020001x") == ("né", "漢", "字", "\U00020001", "x")
+    assert run(spark, rows) == brute(rows, 1)
