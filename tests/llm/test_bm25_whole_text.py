@@ -1,0 +1,25 @@
+import math
+import random
+from collections import Counter
+
+from siftlode.llm import bm25_wand as bw
+from test_bm25_wand import words
+
+
+def test_default_query_is_the_whole_text(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    docs = [(i, " ".join(rng.choice(vocabulary[: rng.choice([30, 300])]) for _ in range(rng.randint(40, 120)))) for i in range(200)]
+    docs.append((200, docs[0][1]))
+    queries = [(k, t) for k, t in docs if k % 20 == 0]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = bw.search(frame, spark.createDataFrame(queries, "query_id long, text string")).collect()
+    bags = {k: Counter(words(t)) for k, t in docs}
+    df = Counter(w for b in bags.values() for w in b)
+    mean = sum(b.total() for b in bags.values()) / len(bags)
+    idf = {w: math.log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    for q, text in queries:
+        terms = {w for w in words(text) if df[w] >= 2}
+        scores = {k: sum(idf[w] * b[w] * 2.2 / (b[w] + 1.2 * (0.25 + 0.75 * b.total() / mean)) for w in terms & set(b)) for k, b in bags.items()}
+        want = sorted(scores, key=lambda k: (-round(scores[k], 9), k))[:10]
+        assert [r.doc_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == want
