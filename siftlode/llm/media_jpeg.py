@@ -331,7 +331,9 @@ def thumbnail(image: Image) -> np.ndarray:
 def thumbnail_hash(pixels: np.ndarray, side: int = 8) -> int:
     """Average hash: which of 8x8 cells of the thumbnail are above their mean."""
     rows, cols = (np.arange(side) * n // side for n in pixels.shape)
-    small = pixels[np.ix_(rows, cols)].astype(np.int64)
+    cells = np.add.reduceat(np.add.reduceat(pixels.astype(np.int64), rows, axis=0), cols, axis=1)
+    tall, wide = (np.maximum(1, np.diff(x, append=n)) for x, n in zip((rows, cols), pixels.shape, strict=True))
+    small = cells / np.outer(tall, wide)
     return int("".join("1" if x else "0" for x in (small * small.size > small.sum()).ravel()), 2)
 
 
