@@ -57,17 +57,19 @@ def link_components(
     tokens: Callable[[DataFrame, str], DataFrame],
     overlap: Callable[[Column, Column], Column],
     spare: DataFrame | None = None,
+    repeated: bool = False,
 ) -> DataFrame:
     """Components of the nodes whose keys meet and whose pairs ``verify`` confirms.
 
     members: ``(key, node)``, longs. verify: from distinct ``(a, b)`` and a name to the linked ones among them.
     tokens: from ``(node)`` and a name to ``(node, token, prefix, size)``, such that two linked nodes share one of the first
     ``prefix`` of their ``size`` tokens in any common order; overlap: how many they share at least, from their sizes. spare: ``(node, part, spare)`` for keys with their part in the low bits: of a node's keys
-    of a part, so many can be left out, and the most frequent ones are. Returns ``(node, comp)`` for the nodes that link with any
+    of a part, so many can be left out, and the most frequent ones are. repeated: members may be repeated. Returns ``(node, comp)`` for the nodes that link with any
     other.
     """
     groups = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", "n")
-    shared = ws.write(members.join(groups, "key").select("key", "node", "n"), "met")
+    met = members.join(groups, "key").select("key", "node", "n")
+    shared = ws.write(met.distinct() if repeated else met, "met")
     # the node that meets the most others is the likeliest centre of a group of copies
     weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
     if spare is not None:

@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sets(nodes: DataFrame, step: str) -> DataFrame:
         wanted = ws.write(heads.join(nodes, "node", "left_semi"), f"wanted-{step}")
-        found = checked_join(base, wanted.select("doc_id").distinct(), "doc_id", "left_semi", wanted.count())
+        found = checked_join(base, wanted.select("doc_id").distinct(), "doc_id", "left_semi", 16 * wanted.count())
         return sets_of(found, k).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
     def verify(pairs: DataFrame, step: str) -> DataFrame:

@@ -70,7 +70,7 @@ def write_archives(pages: DataFrame, ws: Workspace, least: int = 0) -> DataFrame
     again = ws.write(again, "again")
     keyed = rows.withColumn("page", F.xxhash64("page_id", F.sha1("payload")))
     told = again.select(F.xxhash64("again", "sha1").alias("page"), F.col("first").alias("refers_to"))
-    told = checked_join(keyed, told, "page", "left", again.count()).select("page_id", "url", "payload", "refers_to")
+    told = checked_join(keyed, told, "page", "left", 24 * again.count()).select("page_id", "url", "payload", "refers_to")
     folder = _uri(f"{ws.root}/archives")
 
     def run(batches):

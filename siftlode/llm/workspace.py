@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    told = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: ``spark.checkpoint.dir``. Only a local session may do without that setting."""
+    told = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if told:
         return told.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siftlode-"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siftlode-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
@@ -28,10 +30,12 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/siftlode-{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.parquet(path)
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -39,12 +43,30 @@ class Workspace:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.names.discard(name)
 
+    def keep(self, *names: str) -> None:
+        """Delete all tables but these, which the result reads."""
+        for name in self.names - {*names}:
+            self.drop(name)
 
-#: Rows of a few dozen bytes up to which a side may be broadcast once counted.
-BROADCAST_ROWS = 500_000
 
+#: Bytes up to which a side may be broadcast, by an upper bound of its size.
+BROADCAST_BYTES = 32 << 20
 
-def checked_join(left: DataFrame, right: DataFrame, on, how: str, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with the right side broadcast if its counted ``rows`` are within ``limit``; otherwise shuffled."""
-    return left.join(F.broadcast(right) if rows <= limit else right, on, how)
+
+def checked_join(left: DataFrame, right: DataFrame, on, how: str, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Join with the right side broadcast if its ``size`` in bytes is within ``limit``; otherwise shuffled."""
+    return left.join(F.broadcast(right) if size <= limit else right, on, how)
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """Column names like these that the taken ones, in whatever case, leave free."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        own = f"__{name}"
+        while own in used:
+            own = f"_{own}"
+        used.add(own)
+        out.append(own)
+    return out
