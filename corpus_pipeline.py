@@ -41,7 +41,7 @@ def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     named = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     named = ws.write(named.select(F.col("doc_id").alias("named")).distinct(), "named")
     on = F.col("doc_id").eqNullSafe(F.col("named"))
-    kept = checked_join(docs, named, on, "left_semi", named.count())
+    kept = checked_join(docs, named, on, "left_semi", 16 * named.count())
     return kept.select(*COLUMNS)
 
 
