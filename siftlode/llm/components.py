@@ -2,7 +2,7 @@
 
 Keys may be shared by a third of all rows, so a key group is never turned into all of its pairs: its members
 are first compared with one hub, which settles groups of copies, and those it does not reach with a few others.
-The nodes of groups that are still of several components then meet on the rarest of their tokens only, as many as similarity demands (prefix filter), so that
+Where a caller asks for it, the nodes of groups that are still of several components then meet on the rarest of their tokens only, as many as similarity demands (prefix filter), so that
 what the members of a group have in common makes no pairs. All steps are joins and map-side combined aggregates.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftlode.llm.workspace import Workspace
+from siftlode.llm.workspace import Workspace, checked_join
 
 #: The low bits of a key that number its part.
 PART_BITS = 63
@@ -54,33 +54,38 @@ def link_components(
     ws: Workspace,
     members: DataFrame,
     verify: Callable[[DataFrame, str], DataFrame],
-    tokens: Callable[[DataFrame, str], DataFrame],
-    overlap: Callable[[Column, Column], Column],
+    fits: Callable[[Column, Column], Column],
+    tokens: Callable[[DataFrame, str], DataFrame] | None = None,
+    overlap: Callable[[Column, Column], Column] | None = None,
     spare: DataFrame | None = None,
-    repeated: bool = False,
 ) -> DataFrame:
     """Components of the nodes whose keys meet and whose pairs ``verify`` confirms.
 
-    members: ``(key, node)``, longs. verify: from distinct ``(a, b)`` and a name to the linked ones among them.
-    tokens: from ``(node)`` and a name to ``(node, token, prefix, size)``, such that two linked nodes share one of the first
-    ``prefix`` of their ``size`` tokens in any common order; overlap: how many they share at least, from their sizes. spare: ``(node, part, spare)`` for keys with their part in the low bits: of a node's keys
-    of a part, so many can be left out, and the most frequent ones are. repeated: members may be repeated. Returns ``(node, comp)`` for the nodes that link with any
-    other.
+    members: ``(key, node, size)``, longs, possibly repeated. verify: from distinct ``(a, b)`` and a name to the linked ones among them.
+    fits: whether nodes of two sizes can link. tokens: from ``(node)`` and a name to ``(node, token, prefix, size)``, such that two linked
+    nodes share one of the first ``prefix`` of their ``size`` tokens in any common order; overlap: how many they share at least, from their
+    sizes; without tokens the nodes that neither the hubs nor the others of their keys reach stay apart. spare: ``(node, part, spare)`` for
+    keys with their part in the low bits: of a node's keys of a part, so many can be left out, and the most frequent ones are.
+    Returns ``(node, comp)`` for the nodes that link with any other.
     """
-    groups = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("key", "n")
-    met = members.join(groups, "key").select("key", "node", "n")
-    shared = ws.write(met.distinct() if repeated else met, "met")
+    # the high half of a node tells nodes apart in what is shuffled for each key
+    half = F.shiftright("node", 32)
+    groups = members.select("key", half.alias("half")).groupBy("key").agg(F.min("half").alias("lo"), F.max("half").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
+    groups = ws.write(groups.select("key", "n"), "groups")
+    shared = ws.write(checked_join(members, groups, "key", "inner", 32 * groups.count()).select("key", "node", "size", "n").distinct(), "met")
     # the node that meets the most others is the likeliest centre of a group of copies
     weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
     if spare is not None:
         frequent_first = Window.partitionBy("node", "part").orderBy(F.desc("n"), "key")
         ranked = shared.withColumn("part", F.col("key").bitwiseAND(PART_BITS)).withColumn("rank", F.row_number().over(frequent_first))
         shared = ranked.join(spare, ["node", "part"], "left").filter(F.col("rank") > F.coalesce("spare", F.lit(0)))
-    shared = ws.write(shared.join(weights, "node").select("key", "node", "weight"), "shared")
+    shared = ws.write(shared.join(weights, "node").select("key", "node", "size", "weight"), "shared")
     ws.drop("met")
-    hubs = shared.groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
-    pairs = shared.join(hubs, "key").filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    tried = ws.write(pairs, "pairs-0")
+    ws.drop("groups")
+    hubs = shared.groupBy("key").agg(F.max(F.struct("weight", "node", "size")).alias("hub")).select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"))
+    near = fits(F.col("size"), F.col("hub_size"))
+    pair = (F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    tried = ws.write(shared.join(hubs, "key").filter((F.col("node") != F.col("hub")) & near).select(*pair).distinct(), "pairs-0")
     links = ws.write(verify(tried, "0"), "links-0")
     labels = connected_components(ws, links, "comps-0")
 
@@ -89,13 +94,15 @@ def link_components(
     if not rest.limit(1).count():
         return labels
     # members beyond the hub's reach meet a few others, of the largest component for the most part
-    met = rest.groupBy("key", F.pmod("node", F.lit(DELEGATES)).alias("slot")).agg(F.min("node").alias("hub")).select("key", "hub")
-    met = met.join(rest.select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), ["key", "hub"])
-    pairs = rest.join(met, "key").filter("comp <> hub_comp").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    met = rest.groupBy("key", F.pmod("node", F.lit(DELEGATES)).alias("slot")).agg(F.min(F.struct("node", "size", "comp")).alias("hub"))
+    met = met.select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.comp").alias("hub_comp"))
+    pairs = rest.join(met, "key").filter((F.col("comp") != F.col("hub_comp")) & near).select(*pair).distinct()
     more = ws.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs-1")
     tried = tried.union(more)
     labels = _merged(ws, labels, ws.write(verify(more, "1"), "links-1"), "comps-1")
-    rest = _unsettled(ws, rest.select("key", "node"), labels, "rest-1")
+    if tokens is None:
+        return labels
+    rest = _unsettled(ws, rest.select("key", "node", "size"), labels, "rest-1")
     open_ = ws.write(rest.select("node", "comp").distinct(), "open")
     if not open_.limit(1).count():
         return labels
@@ -114,8 +121,8 @@ def link_components(
 
 
 def _unsettled(ws: Workspace, shared: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """(key, node, comp) of the keys of more than two nodes, not all of one component."""
-    marked = shared.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    """(key, node, size, comp) of the keys of more than two nodes, not all of one component."""
+    marked = shared.join(labels, "node", "left").select("key", "node", "size", F.coalesce("comp", "node").alias("comp"))
     keys = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
     return ws.write(marked.join(keys, "key"), name)
 

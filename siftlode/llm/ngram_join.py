@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from siftlode.llm import textvec as tv
 from siftlode.llm.components import PART_BITS, link_components
-from siftlode.llm.workspace import Workspace, checked_join
+from siftlode.llm.workspace import Workspace, checked_join, fresh
 
 _U = np.uint64
 #: Growth of the ladder of bands.
@@ -96,7 +96,7 @@ def band_keys(u: np.ndarray, num: int, den: int) -> tuple[np.ndarray, list[tuple
 
 
 def sketches(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, node, keys, spare) per row; node, the digest of the set, is null for an empty one."""
+    """(doc_id, row, n_shingles, node, keys, spare) per row ``(doc_id, text, row)``; node, the digest of the set, is null for an empty one."""
 
     def run(batches):
         for b in tv.pieces(batches, 1):
@@ -112,12 +112,12 @@ def sketches(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 sizes[row] = len(got)
             flat = tv.signed(np.concatenate(keys)) if keys else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n), pa.array(node, mask=~some), tv.list_array(flat, sizes, pa.int64()), pa.array([[{"part": j, "spare": x} for j, x in row] for row in spare], kind)],
-                ["doc_id", "n_shingles", "node", "keys", "spare"],
+                [b.column(0), b.column(2), pa.array(n), pa.array(node, mask=~some), tv.list_array(flat, sizes, pa.int64()), pa.array([[{"part": j, "spare": x} for j, x in row] for row in spare], kind)],
+                ["doc_id", "row", "n_shingles", "node", "keys", "spare"],
             )
 
     kind = pa.list_(pa.struct([("part", pa.int64()), ("spare", pa.int64())]))
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, keys array<long>, spare array<struct<part: long, spare: long>>")
+    return docs.mapInArrow(run, "doc_id long, row long, n_shingles long, node long, keys array<long>, spare array<struct<part: long, spare: long>>")
 
 
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
@@ -155,27 +155,25 @@ def overlapping(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """Row by row: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable over links.
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, row, n_shingles, node)`` per row, and ``(node, comp)`` of the nodes that link with any other.
 
-    Texts lower-case A-Z and split at space and 09-0D. A set holds the distinct k-word shingles; a text of fewer words
-    is one shingle; a null, empty or blank text has an empty set, links with nothing and is its own component. Sets
-    link when den * |intersection| >= num * |union|, equal sets always. A row with a null id takes part, but its
-    component is named by the other rows; where all ids are null, so is the component. Rows that repeat an id are each returned, with the component of their own text. Other
-    columns are ignored; an empty table gives an empty result. Sets are compared by 64-bit hashes of shingles.
+    node stands for the set, and is null for an empty one; row hashes id and text.
     """
     ws = Workspace(docs.sparkSession, "ngram-join")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # equal texts have equal sets, and a text's hash tells its row apart where ids are null or repeated
+    base = base.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     rows = ws.write(sketches(base, k, num, den), "sketches")
-    heads = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    chosen = rows.join(heads, ["node", "doc_id"], "left_semi")
-    keyed = chosen.select(F.explode("keys").alias("key"), "node")
+    heads = ws.write(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row")), "heads")
+    chosen = rows.join(heads.select("node", "row"), ["node", "row"], "left_semi").select("node", "n_shingles", "keys", "spare")
+    keyed = chosen.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").alias("size"))
     spare = chosen.select("node", F.inline("spare")).distinct()
 
     def sets(nodes: DataFrame, step: str) -> DataFrame:
-        wanted = ws.write(heads.join(nodes, "node", "left_semi"), f"wanted-{step}")
-        found = checked_join(base, wanted.select("doc_id").distinct(), "doc_id", "left_semi", 16 * wanted.count())
-        return sets_of(found, k).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+        wanted = ws.write(heads.join(nodes, "node", "left_semi").select("node", "row"), f"wanted-{step}")
+        found = checked_join(base, wanted.select("row").distinct(), "row", "left_semi", 16 * wanted.count())
+        return sets_of(found.select("doc_id", "text"), k).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
     def verify(pairs: DataFrame, step: str) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -192,9 +190,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def overlap(n, m):
         return F.ceil((n + m) * F.lit(num) / F.lit(num + den))
 
-    labels = link_components(ws, keyed, verify, tokens, overlap, spare)
-    named = heads.join(labels, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp"))
+    def fits(n, m):
+        return F.least(n, m) * den >= F.greatest(n, m) * num
+
+    labels = link_components(ws, keyed, verify, fits, tokens, overlap, spare)
+    rows = ws.write(rows.select("doc_id", "row", "n_shingles", "node"), "rows")
+    labels = ws.write(labels, "labels")
+    ws.keep("rows", "labels")
+    return rows, labels
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Row by row: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable over links.
+
+    Texts lower-case A-Z and split at space and 09-0D. A set holds the distinct k-word shingles; a text of fewer words
+    is one shingle; a null, empty or blank text has an empty set, links with nothing and is its own component. Sets
+    link when den * |intersection| >= num * |union|, equal sets always. A row with a null id takes part, but its
+    component is named by the other rows; where all ids are null, so is the component. Rows that repeat an id are each
+    returned, with the component of their own text. Texts of any length are read whole. Other columns are ignored, whatever their names;
+    an empty table gives an empty result. Sets are compared by 64-bit hashes of shingles.
+    """
+    rows, labels = components(docs, id_col, text_col, **options)
+    known = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    named = known.join(labels, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp"))
     lowest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     names = named.join(lowest, "comp").select("node", "component_id")
     whole = rows.select("doc_id", "n_shingles", "node").join(names, "node", "left")
     return whole.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs(doc_id, text, ...)``, of each component only one: the smallest id's, null last, of these the smallest hash of id and text.
+
+    Rows with empty sets all stay. Of rows that repeat id and text the first by their other columns stays. Columns keep their names and order.
+    """
+    rows, labels = components(docs, **options)
+    ws = Workspace(docs.sparkSession, "ngram-kept")
+    place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")
+    whole = rows.filter("node is not null").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    kept = whole.groupBy("comp").agg(F.min(place).alias("kept"))
+    kept = whole.join(kept, "comp").filter(F.col("row") == F.col("kept.row")).groupBy("row").agg(F.count("*").alias("n"))
+    kept = ws.write(kept.union(rows.filter("node is null").select("row", F.lit(1).cast("long")).distinct()), "kept")
+    (row,) = fresh(docs.columns, "row")
+    keyed = docs.withColumn(row, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    chosen = lambda some: checked_join(keyed, some.select(F.col("row").alias(row)), row, "left_semi", 16 * some.count())
+    single, several = chosen(kept.filter("n = 1")).select(*docs.columns), kept.filter("n > 1")
+    if not several.limit(1).count():
+        return single
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = chosen(several).groupBy("doc_id", "text").agg(*([F.min(F.struct(*others)).alias(row)] if others else []))
+    return single.union(first.select(*(F.col(c) if c in ("doc_id", "text") else F.col(f"{row}.`{c}`") for c in docs.columns)))
