@@ -1,17 +1,17 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-The log-odds of each word between toxic and clean labelled documents are shrunk by a Dirichlet prior
-proportional to the word's overall frequency; words whose document counts differ significantly (log-likelihood
-ratio) form the lexicon, and all others share one slightly negative score. A linear scan then finds all maximal scoring segments of a text
-(Ruzzo and Tompa), and Karlin-Altschul statistics, whose lambda follows from the clean word frequencies and
-whose K is fitted to the clean documents, turn a segment's score and the text's length into the number of
-segments as good expected by chance. A logistic curve over that value gives the probability.
+The log-odds of every word between toxic and clean labelled documents have a Dirichlet prior in proportion to the two
+classes and are drawn towards zero by two standard errors; a small fixed amount off every word keeps chance
+from adding up. A linear scan then finds all maximal scoring segments of a text (Ruzzo and Tompa), and Karlin-Altschul
+statistics, whose lambda follows from the clean word frequencies and whose K is fitted to the clean documents, turn a
+segment's score and the text's length into the number of segments as good expected by chance. A logistic curve over
+that value gives the probability.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +21,12 @@ from pyspark.sql.types import StructType
 
 from siftlode.llm import textvec as tv
 from siftlode.llm.labels import SAMPLE, id_crc, labelled_sample, sampled_texts
+from siftlode.llm.workspace import Workspace, fresh
 
 #: Bytes of words: ASCII letters and digits, and all of non-ASCII characters.
 WORD = tv.table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
-#: Weight of the prior in words, least log-likelihood ratio and toxic documents of a lexicon word, and most lexicon words.
-PRIOR, LEAST_RATIO, LEAST_DOCUMENTS, LEXICON = 1000.0, 20.0, 3, 5_000
+#: Weight of a word's prior in documents, standard errors off its log-odds, and what every word loses besides.
+PRIOR, ERRORS, LOSS = 2.0, 2.0, 1.0
 #: Segments expected by chance up to which a passage is significant.
 SIGNIFICANT = 0.01
 _MOST = 80.0
@@ -33,9 +34,9 @@ _MOST = 80.0
 
 @dataclass(frozen=True)
 class ToxicModel:
-    words: np.ndarray  # sorted hashes
+    words: np.ndarray  # sorted hashes of those whose log-odds differ from 0
     scores: np.ndarray
-    other: float
+    other: float  # score of all others
     scale: float  # lambda
     chance: float  # K
     intercept: float
@@ -72,35 +73,30 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(*(F.sum(n).alias(n) for n in names))
 
 
-def lexicon(counts: DataFrame, texts: DataFrame) -> tuple[list, float, float]:
-    """The words that mark toxic text as (word, score, toxic, clean), at most LEXICON; both totals of words."""
-    total = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
-    number = dict(texts.groupBy("label").count().collect())
-    toxic, clean = float(total.toxic or 0), float(total.clean or 0)
-    if not toxic or not clean:
-        return [], toxic, clean
-    prior = F.lit(PRIOR / (toxic + clean)) * (F.col("toxic") + F.col("clean"))
-    odds = lambda c, n: F.log((F.col(c) + prior) / (n + PRIOR - F.col(c) - prior))
-    share = number[1] / (number[0] + number[1])
-    both = F.col("toxic_texts") + F.col("clean_texts")
-    part = lambda n, p: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (both * p))).otherwise(0.0)
-    rows = counts.filter((F.col("toxic_texts") >= LEAST_DOCUMENTS) & (F.col("toxic_texts") > both * share))
-    rows = rows.withColumn("score", odds("toxic", toxic) - odds("clean", clean)).withColumn("ratio", 2 * (part("toxic_texts", share) + part("clean_texts", 1 - share)))
-    rows = rows.filter((F.col("ratio") >= LEAST_RATIO) & (F.col("score") > 0)).orderBy(F.desc("ratio"), "word").limit(LEXICON)
-    return rows.select("word", "score", "toxic", "clean").collect(), toxic, clean
-
-
-def segments(at: np.ndarray, value: np.ndarray, other: float) -> list[tuple[float, int, int]]:
-    """All maximal scoring segments as (score, first word, last word).
-
-    at, value: word numbers and scores of the lexicon words, in order; every other word scores ``other`` < 0.
-    """
+def log_odds(counts: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """(word, score, clean) of the words whose log-odds differ from 0 by more than the error; of documents, as a word comes in bursts."""
+    share = toxic / (toxic + clean)
+    t, c = F.col("toxic_texts") + PRIOR * share, F.col("clean_texts") + PRIOR * (1 - share)
+    odds = F.log(t / (toxic + PRIOR * share)) - F.log(c / (clean + PRIOR * (1 - share)))
+    certain = F.abs(odds) - ERRORS * F.sqrt(1 / t + 1 / c)
+    return counts.withColumn("certain", certain).filter("certain > 0").select("word", (F.signum(odds) * F.col("certain") - LOSS).alias("score"), "clean")
+
+
+def token_scores(model: ToxicModel, h: np.ndarray) -> np.ndarray:
+    """The score of each word, by hash."""
+    if not len(model.words):
+        return np.full(len(h), model.other)
+    i = np.minimum(np.searchsorted(model.words, h), len(model.words) - 1)
+    return np.where(model.words[i] == h, model.scores[i], model.other)
+
+
+def segments(score: np.ndarray) -> list[tuple[float, int, int]]:
+    """All maximal scoring segments of a text's word scores as (score, first word, last word)."""
+    at = np.flatnonzero(score > 0)
+    after = np.cumsum(score)[at]
     stack: list[tuple[float, float, int, int]] = []  # totals before and after the segment, first and last word
-    total, before = 0.0, -1
-    for p, v in zip(at.tolist(), value.tolist(), strict=True):
-        low = total + other * (p - before - 1)
-        total, before = low + v, p
-        lo, hi, start = low, total, p
+    for p, lo, hi in zip(at.tolist(), (after - score[at]).tolist(), after.tolist(), strict=True):
+        start = p
         while True:
             i = len(stack) - 1
             while i >= 0 and stack[i][0] >= lo:
@@ -113,15 +109,6 @@ def segments(at: np.ndarray, value: np.ndarray, other: float) -> list[tuple[floa
     return [(hi - lo, a, b) for lo, hi, a, b in stack]
 
 
-def hits(model: ToxicModel, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and scores of the lexicon words among hashes."""
-    if not len(model.words) or not len(h):
-        return np.empty(0, np.int64), np.empty(0)
-    i = np.minimum(np.searchsorted(model.words, h), len(model.words) - 1)
-    at = np.flatnonzero(model.words[i] == h)
-    return at, model.scores[i[at]]
-
-
 def expected(model: ToxicModel, score: float, words: int) -> float:
     """Natural logarithm of the number of segments as good that chance gives in a text of so many words."""
     return math.log(model.chance * max(words, 1)) - model.scale * score
@@ -133,6 +120,14 @@ def surprise(model: ToxicModel, score: float, words: int) -> float:
     return min(_MOST, -log_e if log_e < -30 else -math.log(-math.expm1(-math.exp(min(log_e, 30.0)))))
 
 
+def _scored(model: ToxicModel, h: np.ndarray, first: np.ndarray, number: np.ndarray):
+    """(text, scores of its words) of the texts of a chunk with any word above 0."""
+    value = token_scores(model, h)
+    up = np.flatnonzero(value > 0)
+    for t in np.unique(np.searchsorted(first + number, up, side="right")):
+        yield int(t), value[first[t] : first[t] + number[t]]
+
+
 def _best(texts: DataFrame, model: ToxicModel) -> list:
     """(label, words, best score) of the bounded sample."""
 
@@ -141,11 +136,8 @@ def _best(texts: DataFrame, model: ToxicModel) -> list:
             n, best = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
             for lo, rows, *_, h, first, number in words_of(b.column(1)):
                 n[lo : lo + rows] = number
-                at, value = hits(model, h)
-                text = np.searchsorted(first + number, at, side="right")
-                for t in np.unique(text):
-                    own = text == t
-                    best[lo + t] = max(s for s, _, _ in segments(at[own] - first[t], value[own], model.other))
+                for t, value in _scored(model, h, first, number):
+                    best[lo + t] = max(s for s, _, _ in segments(value))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(best)], ["label", "n", "best"])
 
     return texts.mapInArrow(run, "label int, n long, best double").collect()
@@ -166,31 +158,35 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> ToxicModel:
     """A model from labelled documents outside the held-out fold, ``limit`` of them at most."""
-    texts = sampled_texts(docs, labelled_sample(labels, "toxic", 3, 1, limit))
-    marked, toxic, clean = lexicon(word_counts(texts), texts)
-    marked = sorted(marked, key=lambda r: np.int64(r.word).view(np.uint64))
+    ws = Workspace(docs.sparkSession, "toxicity")
+    texts = ws.write(sampled_texts(docs, labelled_sample(labels, "toxic", 3, 1, limit)), "sample")
+    number = dict(texts.groupBy("label").count().collect())
+    toxic, clean = number.get(1, 0), number.get(0, 0)
+    if not toxic or not clean:
+        ws.keep()
+        share = (toxic + 0.5) / (toxic + clean + 1)
+        return ToxicModel(np.empty(0, np.uint64), np.empty(0), -LOSS, 1.0, 1.0, math.log(share / (1 - share)), 0.0)
+    counts = ws.write(word_counts(texts), "counts")
+    total = counts.agg(F.sum("clean")).first()[0]
+    marked = sorted(log_odds(counts, toxic, clean).collect(), key=lambda r: np.int64(r.word).view(np.uint64))
     words = np.array([r.word for r in marked], np.int64).view(np.uint64)
     scores = np.array([r.score for r in marked])
-    rate = np.array([(r.clean + 0.5) / (clean + 1) for r in marked])
-    share = sum(r.toxic for r in marked) / max(toxic, 1)
-    # passages differ from clean text in how often lexicon words occur; chance must lower the total
-    other = min(math.log((1 - min(share, 0.5)) / (1 - min(float(rate.sum()), 0.4))), -2 * float(rate @ scores), -0.01) if marked else -0.01
-    model = ToxicModel(words, scores, other, _scale(scores, rate, other), 1.0, 0.0, 0.0)
+    rate = np.array([(r.clean + 0.5) / (total + 1) for r in marked])
+    model = ToxicModel(words, scores, -LOSS, _scale(scores, rate, -LOSS), 1.0, 0.0, 0.0)
     seen = _best(texts, model)
+    ws.keep()
     y, n, best = (np.array([r[i] for r in seen], float) for i in range(3))
-    if not len(y) or y.min() == y.max() or not marked:
-        share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
-        return ToxicModel(words[:0], scores[:0], other, 1.0, 1.0, math.log(share / (1 - share)), 0.0)
     none = y == 0
     chance = none.sum() / float((n[none].clip(1) * np.exp(-model.scale * best[none])).sum())
-    model = ToxicModel(words, scores, other, model.scale, chance, 0.0, 0.0)
+    model = replace(model, chance=chance)
     x = np.array([surprise(model, b, int(k)) for b, k in zip(best, n, strict=True)])
-    return ToxicModel(words, scores, other, model.scale, chance, *_logistic(x, y))
+    intercept, slope = _logistic(x, y)
+    return replace(model, intercept=intercept, slope=slope)
 
 
 def _scale(scores: np.ndarray, rate: np.ndarray, other: float) -> float:
     """The positive lambda at which scores of clean words have a mean exp(lambda * score) of 1."""
-    if not len(scores):
+    if not (scores > 0).any():
         return 1.0
     mean = lambda x: float(rate @ np.exp(x * scores)) + (1 - float(rate.sum())) * math.exp(x * other) - 1
     lo, hi = 0.0, 1.0
@@ -206,26 +202,23 @@ def score(docs: DataFrame, model: ToxicModel, passages: bool = True) -> DataFram
     """All columns of ``docs`` with ``score``, ``n_words`` and the significant ``passages``.
 
     A passage has its bytes' bounds in the UTF-8 text, its lower-cased text, score and logarithm of the expectation.
-    Null and empty texts score like texts without any lexicon word.
+    Null and empty texts score like texts without any word above 0. Columns named like the added ones are replaced, all others kept; texts
+    of any length are read whole.
     """
     kind = pa.list_(pa.struct([("first_byte", pa.int64()), ("end_byte", pa.int64()), ("text", pa.string()), ("score", pa.float64()), ("log_expected", pa.float64())]))
 
     def run(batches):
         floor = 1 / (1 + math.exp(-model.intercept))
         for b in batches:
-            text_column = b.column(b.schema.get_field_index("__text"))
+            text_column = b.column(b.schema.get_field_index(own))
             value = np.full(b.num_rows, floor)
             n = np.zeros(b.num_rows, np.int64)
             found: list[list] = [[]] * b.num_rows
             for lo, rows, data, offsets, starts, ends, h, first, number in words_of(text_column):
                 n[lo : lo + rows] = number
                 value[lo : lo + rows] = 1 / (1 + np.exp(-model.intercept - model.slope * surprise_of_none(model, number)))
-                at, marks = hits(model, h)
-                text = np.searchsorted(first + number, at, side="right")
-                cuts = np.flatnonzero(np.diff(text, prepend=-1))
-                for a, z in zip(cuts, [*cuts[1:], len(text)], strict=False):
-                    t = int(text[a])
-                    got = segments(at[a:z] - first[t], marks[a:z], model.other)
+                for t, marks in _scored(model, h, first, number):
+                    got = segments(marks)
                     best = max(s for s, _, _ in got)
                     value[lo + t] = 1 / (1 + math.exp(-model.intercept - model.slope * surprise(model, best, int(number[t]))))
                     if passages:
@@ -234,13 +227,15 @@ def score(docs: DataFrame, model: ToxicModel, passages: bool = True) -> DataFram
                             for s, i, j in got
                             if (e := expected(model, s, int(number[t]))) <= math.log(SIGNIFICANT)
                         ]
-            kept = [b.column(i) for i, name in enumerate(b.schema.names) if name != "__text"]
-            names = [name for name in b.schema.names if name != "__text"]
+            kept = [b.column(i) for i, name in enumerate(b.schema.names) if name != own]
+            names = [name for name in b.schema.names if name != own]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(value), pa.array(n), pa.array(found, kind)], [*names, "score", "n_words", "passages"])
 
-    carried = docs.drop("score", "n_words", "passages").withColumn("__text", F.col("text"))
+    carried = docs.drop("score", "n_words", "passages")
+    (own,) = fresh(carried.columns, "text")
+    carried = carried.withColumn(own, F.col("text"))
     added = StructType.fromDDL("score double, n_words long, passages array<struct<first_byte: long, end_byte: long, text: string, score: double, log_expected: double>>")
-    schema = StructType(carried.drop("__text").schema.fields + added.fields)
+    schema = StructType(carried.drop(own).schema.fields + added.fields)
     return carried.mapInArrow(run, schema)
 
 
@@ -254,7 +249,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, limit:
     """``doc_id``, ``held_out``, ``score``, ``predicted``, ``n_words`` and ``passages`` per row of ``docs``.
 
     A null id is in the held-out fold's complement; null, empty and blank texts get the score of a text without
-    lexicon words; repeated rows are each returned; an empty table gives an empty result. Without labels of both
+    any word above 0; texts of any length are read whole; repeated rows are each returned; an empty table gives an empty result. Without labels of both
     kinds all scores are the smoothed share of toxic labels (0.5 without any).
     """
     model = fit(docs, labels, limit)
