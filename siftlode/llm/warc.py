@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from siftlode.llm.workspace import Workspace, checked_join
 
-#: Bytes between two ranges that are read along, and of one read.
-GAP, READ = 64 << 10, 4 << 20
+#: Bytes between two ranges that are read along, of one read, and of the records of a task, about.
+GAP, READ, TASK = 64 << 10, 4 << 20, 64 << 20
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -66,7 +66,9 @@ def write_archives(pages: DataFrame, ws: Workspace, least: int = 0) -> DataFrame
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     digests = ws.write(rows.select("page_id", F.sha1("payload").alias("sha1"), F.length("payload").alias("size")), "digests").filter(F.col("size") >= least)
     firsts = digests.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("sha1", "first")
-    again = digests.join(firsts, "sha1").filter(~F.col("page_id").eqNullSafe(F.col("first"))).select(F.col("page_id").alias("again"), "sha1", "first").distinct()
+    firsts = ws.write(firsts, "firsts")
+    # a payload may be that of a third of all pages
+    again = checked_join(digests, firsts, "sha1", "inner", 96 * firsts.count()).filter(~F.col("page_id").eqNullSafe(F.col("first"))).select(F.col("page_id").alias("again"), "sha1", "first").distinct()
     again = ws.write(again, "again")
     keyed = rows.withColumn("page", F.xxhash64("page_id", F.sha1("payload")))
     told = again.select(F.xxhash64("again", "sha1").alias("page"), F.col("first").alias("refers_to"))
@@ -92,7 +94,9 @@ def write_archives(pages: DataFrame, ws: Workspace, least: int = 0) -> DataFrame
 
     names = ["page_id", "url", "digest", "file", "offset", "length"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-    return ws.write(told.mapInArrow(run, "page_id long, url string, digest string, file string, offset long, length long"), "index")
+    index = ws.write(told.mapInArrow(run, "page_id long, url string, digest string, file string, offset long, length long"), "index")
+    ws.keep("index")
+    return index
 
 
 def read_archives(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
@@ -144,11 +148,19 @@ def read_archives(index: DataFrame, folder: str, with_payload: bool = False) ->
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * with_payload]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload
-    chosen = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    chosen = index.select("file", "offset", "length")
+    # told by the records' bytes, as the rows of the index are small
+    tasks = max(-(-(chosen.agg(F.sum("length")).first()[0] or 0) // TASK), index.sparkSession.sparkContext.defaultParallelism)
+    chosen = chosen.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return chosen.mapInArrow(run, schema)
 
 
 def archived(pages: DataFrame, least: int = 0, with_payload: bool = False) -> DataFrame:
-    """Every page written to archives and read back by the index. An empty table gives an empty result."""
+    """Every page written to archives and read back by the index.
+
+    Null and empty htmls are empty payloads; pages of any length are written and read whole, one at a time; of ties of payload the smallest id
+    is the response, and so are all rows that repeat it; a null id revisits where any other id has its payload, and has a record without number.
+    Other columns are ignored. An empty table gives an empty result.
+    """
     ws = Workspace(pages.sparkSession, "warc")
     return read_archives(write_archives(pages, ws, least), f"{ws.root}/archives", with_payload)
