@@ -2,7 +2,7 @@
 
 Such a tokenizer cuts a text into pieces by character class and encodes each piece by itself. Pieces repeat,
 so they are found with whole-array operations here and looked up by hash; the library encodes those
-that are not yet known to the worker. Texts with characters of unassigned classes go to the library whole.
+that are not yet known to the worker. Texts with characters of unassigned classes or strings of added tokens go to the library whole.
 """
 
 from __future__ import annotations
@@ -79,7 +79,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # their strings in a text are cut out before all else
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._forget()
 
@@ -120,7 +121,7 @@ class Encoder:
         # code points before each byte offset
         before = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[offsets]
         kind = classes()[points]
-        if (kind == UNKNOWN).any():
+        if (kind == UNKNOWN).any() or any(t in text for t in self.added):
             whole = self._library([text[a:b] for a, b in zip(before, before[1:], strict=False)])
             return np.array([i for ids in whole for i in ids], np.int32), np.array([len(ids) for ids in whole], np.int64)
         starts = piece_starts(points, kind, before)

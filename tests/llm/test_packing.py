@@ -14,7 +14,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def library(texts):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch(list(texts), add_special_tokens=False)]
 
 
@@ -25,7 +24,7 @@ def ours(texts):
     return [x.tolist() for x in np.split(ids, cuts)]
 
 
-TRICKY = ["", " ", "a", "'s", "it's we'll they're I'd 'm", " 'tis ''s x''s 'S", "a  b\n\n c\t\td \n", "  lead", "trail  ", "x y　 z", "12ab 3½ Ⅷ", "<|endoftext|> x", "é à ß Ñ 漢字 かな 한국", "😀 a😀b ...!! --", "'" , "'r", "'ree", "\r\n'll'll", "a͸b c's", "'s't", "  x", "a'ſb"]
+TRICKY = ["", " ", "a", "'s", "it's we'll they're I'd 'm", " 'tis ''s x''s 'S", "a  b\n\n c\t\td \n", "  lead", "trail  ", "x y　 z", "12ab 3½ Ⅷ", "<|endoftext|> x", "hello <|endoftext|> world", "a<|endoftext|><|endoftext|>", "é à ß Ñ 漢字 かな 한국", "😀 a😀b ...!! --", "'" , "'r", "'ree", "\r\n'll'll", "a͸b c's", "'s't", "  x", "a'ſb"]
 
 
 def test_ids_equal_the_library(spark):
