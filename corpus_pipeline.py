@@ -1,9 +1,12 @@
 """From raw documents to packed sequences, one operator a stage.
 
 toxicity (7): documents with a toxic verdict go. line_dedup (8): repeated and near-repeated lines go, and
-documents that lose all their words by it. ngram_join (10): of each group of near-duplicates the document with
-the smallest id stays, and rows that repeat id and text stay or go together. mixing (4): documents are repeated or left out towards their source's target.
-packing (6): the words left, as token ids, in sequences of 1024.
+documents that lose all their words by it. ngram_join (10): of each group of near-duplicates one document stays.
+mixing (4): documents are repeated or left out towards their source's target. packing (6): the words left, as token ids,
+in sequences of 1024.
+
+Every stage takes rows with nulls in any column, repeated rows and texts of any length, ignores columns beyond those
+of documents, and gives an empty result for an empty table.
 """
 
 from __future__ import annotations
@@ -14,10 +17,10 @@ from pyspark.sql import functions as F
 
 from siftlode.llm.line_dedup import dedup_lines
 from siftlode.llm.mixing import mixed_documents
-from siftlode.llm.ngram_join import near_duplicates
+from siftlode.llm.ngram_join import one_of_each
 from siftlode.llm.packing import pack_documents
 from siftlode.llm.toxicity import fit, score
-from siftlode.llm.workspace import Workspace, checked_join
+from siftlode.llm.workspace import Workspace
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Verdicts at and above this score are toxic.
@@ -25,31 +28,30 @@ TOXIC = 0.7
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that score below the bound, unchanged; null and empty texts score like texts without a toxic word, and stay."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs.select(*COLUMNS), model, passages=False).filter(F.col("score") < TOXIC).select(*COLUMNS)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows without their repeated lines, ``n_chars`` counted anew where some went. Rows that lose all words go; those that had none, or a null text, stay."""
     kept = dedup_lines(docs.select(*COLUMNS)).filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     n_chars = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row whose id names its component stays; rows without an id stay where no other names their component."""
-    ws = Workspace(spark, "pipeline-groups")
-    named = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    named = ws.write(named.select(F.col("doc_id").alias("named")).distinct(), "named")
-    on = F.col("doc_id").eqNullSafe(F.col("named"))
-    kept = checked_join(docs, named, on, "left_semi", 16 * named.count())
-    return kept.select(*COLUMNS)
+    """Of each group of near-duplicates the row with the smallest id, a null id last; rows without words are no duplicates, and stay."""
+    return one_of_each(docs.select(*COLUMNS))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed_documents(docs).select(*COLUMNS)
+    """Each row as often as the mix takes it; a null source is one of its own, and rows without words may be left out."""
+    return mixed_documents(docs.select(*COLUMNS))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows; a null or empty text is the end id alone."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
