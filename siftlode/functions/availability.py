@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siftlode.functions.dates import MONTHS, parse_month
-from siftlode.functions.text import fold
+from siftlode.functions.dates import ARRANGED, any_of, date_text, lead_months, parse_month, says
 
 # Folded number words.
 NUMBERS = {
@@ -16,76 +15,112 @@ NUMBERS = {
 }
 # Folded wordings by what they say.
 LEAST = ("mindestens", "minimum", "au moins", "almeno", "at least", "ab")
-AHEAD = ("im voraus", "vorher", "vorlauf", "a l'avance", "d'avance", "di anticipo", "in advance")
-BOOKED = ("ausgebucht", "keine freien platze", "keine freien stellen", "voll belegt", "complet", "aucune place disponible", "occupato", "nessun posto disponibile", "posti esauriti", "fully booked")
+AHEAD = ("im voraus", "vorher", "vorlauf", "a l'avance", "d'avance", "avant", "di anticipo", "prima", "in advance")
+BOOKED = (
+    "ausgebucht", "keine freien platze", "keine freien stellen", "keine famulaturen", "keine angeboten", "bietet keine", "voll belegt", "complet",
+    "aucune place disponible", "occupe", "occupato", "nessun posto disponibile", "posti esauriti", "fully booked",
+)
 AT_ONCE = ("ab sofort", "per sofort", "sofort moglich", "des maintenant", "da subito", "immediately")
-ARRANGED = ("nach vereinbarung", "sur accord", "sur demande", "da concordare", "previo accordo")
 APPLY = ("bewerbung", "bewerbungen", "bewerben", "bewerbungsfrist", "candidature", "postulation", "candidatura", "apply", "application")
 FREE = ("freie platze", "freie stellen", "verfugbar", "disponible", "posto disponibile", "posti disponibili", "available")
-START = ("ab", "des", "a partir", "a partire", "da", "from", "starting")
-
-
-def _any(words) -> str:
-    """A pattern of one of the wordings, longest first, with any white space between their words."""
-    return "(?:" + "|".join(w.replace(" ", r"\s+") for w in sorted(words, key=len, reverse=True)) + ")"
-
-
-def _says(text: Column, words) -> Column:
-    return text.rlike(rf"\b{_any(words)}\b")
-
-
-def unglued(phrase: Column) -> Column:
-    """Folded, with blanks where a capital follows a small letter and between letters and digits."""
-    apart = F.regexp_replace(phrase, r"(\p{Ll})(\p{Lu})", "$1 $2")
-    apart = F.regexp_replace(F.regexp_replace(apart, r"(\p{L})(\d)", "$1 $2"), r"(\d)(\p{L})", "$1 $2")
-    return fold(apart)
-
-
-def duration_weeks(phrase: Column) -> Column:
-    """``(min_weeks, max_weeks)`` of the first quantities that stand before a unit; a month has four weeks.
-
-    Several quantities, joined by words or signs of a range or list, give their least and largest; one after a wording
-    of a minimum has no maximum. Times in advance are no durations unless the phrase speaks of one.
+# Folded wordings of a start by language.
+START = {
+    "de": r"ab(?:\s+(?:dem|den|semester|monat))?",
+    "fr": r"des|a\s+partir\s+(?:du|de)",
+    "it": r"da|a\s+partire\s+(?:dal|da)",
+    "en": r"from|starting(?:\s+from)?",
+}
+# What is said about a phrase that has no clear status.
+NO_TEXT = "No availability text was provided."
+NO_END = "Fully booked wording was detected, but no end date could be parsed."
+BY_ARRANGEMENT = "Availability is described as by arrangement rather than as a date."
+APPLY_ONLY = "Application information was detected without explicit availability."
+NO_STATUS = "No explicit availability status could be parsed."
+#: Characters after a wording of a start that may hold its date, and words between them.
+WINDOW, BETWEEN = 40, 4
+EXPLICIT = ("available", "available-from", "fully-booked-until")
+
+
+def duration_weeks(phrase: Column, ready: bool = False) -> Column:
+    """``(min_weeks, max_weeks)``: of a list, a range of months, one of weeks, a minimum or a single quantity, whichever comes first in this order.
+
+    A month has four weeks; a minimum has no maximum. Times in advance are no durations unless the phrase speaks of one.
     """
-    text = unglued(phrase)
-    one = r"(?:\d{1,2}|" + "|".join(sorted(NUMBERS, key=len, reverse=True)) + ")"
-    between = r"\s*(?:,|-|–|\boder\b|\bbis\b|\bund\b|\ba\b|\bto\b)\s*"
-    unit = r"(wochen?|semaines?|settiman[ae]|weeks?|monat\w*|mois|mes[ei]|months?)"
-    pattern = rf"\b({_any(LEAST)}\s+)?({one}(?:{between}{one})*)\s*{unit}\b"
-    least, found, of = (F.regexp_extract(text, pattern, i) for i in (1, 2, 3))
+    text = phrase if ready else date_text(phrase)
+    one = r"(\d{1,2}|" + "|".join(NUMBERS) + ")"
+    month, week = r"monate?|monaten|mois|mesi|months?", r"wochen|semaines?|settimane|weeks?"
+    months = month + "|monatiges"
     values = F.create_map(*(F.lit(x) for pair in NUMBERS.items() for x in pair))
-    numbers = F.transform(F.regexp_extract_all(found, F.lit(rf"\b({one})\b"), F.lit(1)), lambda x: F.coalesce(x.try_cast("int"), F.try_element_at(values, x)))
-    weeks = F.when(of.startswith("m"), 4).otherwise(1)
-    known = (of != "") & ~(_says(text, AHEAD) & ~text.contains("dauer"))
-    open_ = (least != "") & (F.size(numbers) == 1)
-    return F.struct(
-        F.when(known, F.array_min(numbers) * weeks).alias("min_weeks"),
-        F.when(known & ~open_, F.array_max(numbers) * weeks).alias("max_weeks"),
+    number = lambda x: F.coalesce(x.try_cast("int"), F.try_element_at(values, x))
+    part = lambda pattern, i: F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
+    weeks = lambda unit: F.when(unit.rlike("^m"), 4).otherwise(1)
+
+    some = rf"\b{one}(?:\s*,\s*{one})?(?:\s*,\s*{one})?\s+oder\s+{one}\s+({month}|{week})\b"
+    listed = F.array_compact(F.array(*(number(part(some, i)) for i in (1, 2, 3, 4))))
+    span = rf"\b{one}\s*(?:bis|und|-|\u2013|a|to)\s*{one}\s*"
+    in_months, in_weeks = span + rf"(?:{months})\b", span + rf"(?:{week})\b"
+    least = rf"\b{any_of(LEAST)}\s+{one}\s+({month}|{week})\b"
+    single = rf"\b{one}\s*({months}|{week})\b"
+    pair = lambda lo, hi: F.struct(lo.cast("int").alias("min_weeks"), hi.cast("int").alias("max_weeks"))
+    nothing = F.lit(None).cast("int")
+    at_least, alone = (number(part(p, 1)) * weeks(part(p, 2)) for p in (least, single))
+    return (
+        F.when(F.coalesce(says(text, AHEAD) & ~text.contains("dauer"), F.lit(True)), pair(nothing, nothing))
+        .when(part(some, 5).isNotNull(), pair(F.array_min(listed) * weeks(part(some, 5)), F.array_max(listed) * weeks(part(some, 5))))
+        .when(part(in_months, 1).isNotNull(), pair(number(part(in_months, 1)) * 4, number(part(in_months, 2)) * 4))
+        .when(part(in_weeks, 1).isNotNull(), pair(number(part(in_weeks, 1)), number(part(in_weeks, 2))))
+        .when(part(least, 1).isNotNull(), pair(at_least, nothing))
+        .otherwise(pair(alone, alone))
     )
 
 
-def available_from(phrase: Column) -> Column:
-    """The month or date that follows a wording of a start, four words between them at most."""
-    text = unglued(phrase)
-    month = _any({n for group in MONTHS.values() for n in group})
-    date = rf"(?:\d{{1,2}}\.\d{{1,2}}\.\d{{4}}|(?:ende|fin|fine)\s+\d{{4}}|{month}\.?\s+\d{{4}})"
-    return parse_month(F.nullif(F.regexp_extract(text, rf"\b{_any(START)}\b(?:[^a-z0-9]+[a-z]+){{0,4}}?[^a-z0-9]+({date})", 1), F.lit("")))
+def available_from(phrase: Column, language: Column | None = None, ready: bool = False) -> Column:
+    """The month or date that follows the first wording of a start that has one, within WINDOW characters and BETWEEN words."""
+    text = phrase if ready else date_text(phrase)
+    every = "|".join(START.values())
+    cue = F.lit(every) if language is None else F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in START.items() for x in pair)), language), F.lit(every))
+    pieces = F.split(text, F.concat(F.lit(r"(?=\b(?:"), cue, F.lit(r")\b)")))
+    before = lambda i: F.aggregate(F.slice(pieces, 1, i), F.lit(1), lambda n, x: n + F.char_length(x))
+    windows = F.transform(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: F.substring(text, before(i), F.lit(WINDOW)))
+    date = r"(?:\d{1,2}\.\d{1,2}\.\d{4}|(?:ende|fin|fine)\s+\d{4}|[a-z]+\s+\d{4})"
+    shape = F.concat(F.lit("^(?:"), cue, F.lit(rf")\b(.*?)\b{date}\b"))
+    near = lambda w: F.regexp_like(w, shape) & (F.size(F.regexp_extract_all(F.call_function("regexp_extract", w, shape, F.lit(1)), F.lit("[a-z]+"), F.lit(0))) <= BETWEEN)
+    found = F.filter(F.transform(F.filter(windows, near), lambda w: parse_month(w, language, True)), lambda m: m.isNotNull())
+    return F.get(found, F.lit(0))
 
 
-def availability(phrase: Column) -> Column:
-    """``(status, available_from, booked_until)``; what a phrase says first in this order counts: booked, at once, by
-    arrangement, from a date, applications only, available. Null and blank phrases say nothing."""
-    text = fold(phrase)
-    booked, start = _says(text, BOOKED), available_from(phrase)
-    dated = ~booked & ~_says(text, AT_ONCE) & ~_says(text, ARRANGED)
-    until = F.when(booked, parse_month(phrase))
-    status = (
-        F.when(booked, F.when(until.isNotNull(), "fully-booked-until").otherwise("not-specified"))
-        .when(_says(text, AT_ONCE), "available")
-        .when(_says(text, ARRANGED), "not-specified")
-        .when(start.isNotNull(), "available-from")
-        .when(_says(text, APPLY), "application-only")
-        .when(_says(text, FREE), "available")
-        .otherwise("not-specified")
+def availability(phrase: Column, language: Column | None = None, ready: bool = False) -> Column:
+    """``(status, available_from, booked_until, lead_months, min_weeks, max_weeks, warnings)`` of a phrase.
+
+    What it says first in this order counts: booked, at once, by arrangement, from a date, applications only, available. Null and
+    blank phrases say nothing. ready: the phrase went through ``date_text``.
+    """
+    text = phrase if ready else date_text(phrase)
+    empty = F.coalesce(text == "", F.lit(True))
+    booked, start = ~empty & says(text, BOOKED), available_from(text, language, True)
+    at_once, arranged = says(text, AT_ONCE), says(text, ARRANGED)
+    until = F.when(booked, parse_month(text, ready=True))
+    dated = ~empty & ~booked & ~at_once & ~arranged
+    weeks = duration_weeks(text, True)
+    cases = [
+        (empty, "not-specified", NO_TEXT),
+        (booked & until.isNotNull(), "fully-booked-until", None),
+        (booked, "not-specified", NO_END),
+        (at_once, "available", None),
+        (arranged, "not-specified", BY_ARRANGEMENT),
+        (start.isNotNull(), "available-from", None),
+        (says(text, APPLY), "application-only", APPLY_ONLY),
+        (says(text, FREE), "available", None),
+    ]
+    status, warning = F, F
+    for when, what, said in cases:
+        status, warning = status.when(when, what), warning.when(when, F.lit(said).cast("string"))
+    return F.struct(
+        status.otherwise("not-specified").alias("status"),
+        F.when(dated, start).alias("available_from"),
+        until.alias("booked_until"),
+        F.when(~empty, lead_months(text, True)).alias("lead_months"),
+        weeks["min_weeks"].alias("min_weeks"),
+        weeks["max_weeks"].alias("max_weeks"),
+        F.array_compact(F.array(warning.otherwise(NO_STATUS))).alias("warnings"),
     )
-    return F.struct(status.alias("status"), F.when(dated, start).alias("available_from"), until.alias("booked_until"))

@@ -1,4 +1,4 @@
-"""Month arithmetic and date phrases in four languages."""
+"""Month arithmetic and date phrases in four languages, as column expressions."""
 
 from __future__ import annotations
 
@@ -9,19 +9,54 @@ from siftlode.functions.text import fold
 
 # Folded month names by month.
 MONTHS = {
-    1: ("januar", "january", "janvier", "gennaio", "jan"),
-    2: ("februar", "february", "fevrier", "febbraio", "feb"),
-    3: ("marz", "march", "mars", "marzo"),
-    4: ("april", "avril", "aprile", "apr"),
+    1: ("januar", "january", "janvier", "gennaio"),
+    2: ("februar", "february", "fevrier", "febbraio"),
+    3: ("marz", "maerz", "march", "mars", "marzo"),
+    4: ("april", "avril", "aprile"),
     5: ("mai", "may", "maggio"),
     6: ("juni", "june", "juin", "giugno"),
     7: ("juli", "july", "juillet", "luglio"),
-    8: ("august", "aout", "agosto", "aug"),
-    9: ("september", "septembre", "settembre", "sept"),
-    10: ("oktober", "october", "octobre", "ottobre", "okt", "oct"),
-    11: ("november", "novembre", "nov"),
-    12: ("dezember", "december", "decembre", "dicembre", "dez", "dec"),
+    8: ("august", "aout", "agosto"),
+    9: ("september", "septembre", "settembre"),
+    10: ("oktober", "october", "octobre", "ottobre"),
+    11: ("november", "novembre"),
+    12: ("dezember", "december", "decembre", "dicembre"),
 }
+# Folded wordings of deadlines and of mere arrangement, which name no start.
+DEADLINE = ("bewerbungsfrist", "frist", "deadline", "delai de candidature", "date limite", "scadenza")
+ARRANGED = ("nach vereinbarung", "sur accord", "sur demande", "da concordare", "previo accordo")
+# What follows the number in a lead time, and the wordings of a year ahead.
+AHEAD = (
+    r"monate?\s+(?:im\s+voraus|vorher|vorlauf)",
+    r"mois\s+(?:a\s+l'avance|d'avance|avant)",
+    r"mesi\s+(?:di\s+anticipo|prima)",
+    r"months?\s+in\s+advance",
+)
+BEFORE_START = r"(?:fruhestens|fruehestens|spatestens|spaetestens)\s+(\d{1,2})\s+monate?\s+vor\s+(?:beginn|start|antritt)"
+YEAR_AHEAD = (
+    r"(?:ein|einem|1)\s+jahr\s+(?:im\s+voraus|vorher)",
+    r"(?:un|1)\s+an\s+(?:a\s+l'avance|d'avance|avant)",
+    r"(?:un|1)\s+anno\s+(?:di\s+anticipo|prima)",
+    r"(?:one|1)\s+year\s+in\s+advance",
+)
+# Words that pages glue together.
+_GLUED = r"(?<=dauer)(?=ab)|(?<=monat|monate|monaten)(?=programmleitung|voraussetzungen|kontakt|stellen)"
+
+
+def any_of(words) -> str:
+    """A pattern of one of the wordings, longest first, with any white space between their words."""
+    return "(?:" + "|".join(w.replace(" ", r"\s+") for w in sorted(words, key=len, reverse=True)) + ")"
+
+
+def says(text: Column, words) -> Column:
+    return text.rlike(rf"\b{any_of(words)}\b")
+
+
+def date_text(phrase: Column) -> Column:
+    """Folded, with a blank between letters and digits and within glued words, single blanks, trimmed."""
+    text = F.regexp_replace(fold(phrase), "\u2019", "'")
+    text = F.regexp_replace(text, r"(?<=\d)[-\u2013]?(?=[a-z])|(?<=[a-z])(?=\d)", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(text, _GLUED, " "), r"\s+", " "))
 
 
 def month_index(date: Column) -> Column:
@@ -35,28 +70,52 @@ def months_ahead(observed: Column, target: Column) -> Column:
     return F.when(n >= 0, n)
 
 
-def parse_month(phrase: Column) -> Column:
+def text_month_index(month: Column) -> Column:
+    """Months since year 0 of YYYY-MM or YYYY-MM-DD; null for anything else."""
+    part = [F.regexp_extract(month, r"^(\d{4})-(0[1-9]|1[0-2])(?:-\d{2})?$", i) for i in (1, 2)]
+    return F.when(part[0] != "", part[0].cast("int") * 12 + part[1].cast("int"))
+
+
+def months_until(observed: Column, target: Column) -> Column:
+    """Months from a time to a month or date in text, negative ones too."""
+    return text_month_index(target) - month_index(observed)
+
+
+def target_month(available_from: Column, booked_until: Column) -> Column:
+    return F.substring(F.coalesce(available_from, booked_until), 1, 7)
+
+
+def months_observed(checked: Column, available_from: Column, booked_until: Column) -> Column:
+    """Months ahead at which a record was seen; null if it lies in the past or has no date."""
+    n = months_until(checked, target_month(available_from, booked_until))
+    return F.when(n >= 0, n)
+
+
+def parse_month(phrase: Column, language: Column | None = None, ready: bool = False) -> Column:
     """A phrase's first date, year end or month name with year, as YYYY-MM-DD or YYYY-MM; null without any.
 
-    Phrases about application deadlines or mere arrangement have no start month.
+    Phrases about deadlines or mere arrangement have no month. In German, mars and mai are no months, as the survey says. ready: the
+    phrase went through ``date_text``.
     """
-    text = fold(phrase)
+    text = phrase if ready else date_text(phrase)
     day = [F.regexp_extract(text, r"\b(\d{1,2})\.(\d{1,2})\.(\d{4})\b", i) for i in (1, 2, 3)]
     iso = F.concat_ws("-", day[2], F.lpad(day[1], 2, "0"), F.lpad(day[0], 2, "0"))
-    date = F.when(day[0] != "", F.when(F.try_to_date(iso).isNotNull(), iso))
+    date = F.when(day[0] != "", F.when(F.try_to_date(iso, "yyyy-MM-dd").isNotNull(), iso))
     year_end = F.regexp_extract(text, r"\b(?:ende|fin|fine)\s+(\d{4})\b", 1)
-    names = F.array(*(F.lit(n) for group in MONTHS.values() for n in group))
-    numbers = F.array(*(F.lit(f"{m:02d}") for m, group in MONTHS.items() for _ in group))
-    pattern = "|".join(sorted((n for group in MONTHS.values() for n in group), key=len, reverse=True))
-    name, year = (F.regexp_extract(text, rf"\b({pattern})\.?\s+(?:de\s+|del\s+)?(\d{{4}})\b", i) for i in (1, 2))
-    named = F.when(name != "", F.concat_ws("-", year, F.get(numbers, F.array_position(names, name).cast("int") - 1)))
-    barred = text.rlike(r"bewerbungsfrist|deadline|delai|scadenza|nach vereinbarung|by arrangement|a convenir|da concordare")
+    names = [n for group in MONTHS.values() for n in group]
+    number = F.create_map(*(F.lit(x) for m, group in MONTHS.items() for n in group for x in (n, f"{m:02d}")))
+    name, year = (F.regexp_extract(text, rf"\b({'|'.join(sorted(names, key=len, reverse=True))})\s+(\d{{4}})\b", i) for i in (1, 2))
+    known = name != ""
+    if language is not None:
+        known &= ~(F.coalesce(language == "de", F.lit(False)) & name.isin("mars", "mai"))
+    named = F.when(known, F.concat_ws("-", year, F.try_element_at(number, name)))
+    barred = says(text, DEADLINE) | says(text, ARRANGED)
     return F.when(~barred, F.coalesce(date, F.when(year_end != "", F.concat(year_end, F.lit("-12"))), named))
 
 
-def lead_months(phrase: Column) -> Column:
+def lead_months(phrase: Column, ready: bool = False) -> Column:
     """Months in advance that a phrase names; a year is twelve, zero is none."""
-    text = fold(phrase)
-    number = F.regexp_extract(text, r"(\d+)\s*(?:-\s*\d+\s*)?(?:monate?n?|months?|mois|mesi)\s*(?:im voraus|vorher|in advance|ahead|a l'avance|prima|in anticipo)", 1)
-    year = text.rlike(r"(?:ein jahr|one year|un an|un anno)\s*(?:im voraus|vorher|in advance|ahead|a l'avance|prima|in anticipo)")
-    return F.coalesce(F.nullif(F.expr("int(0)") + F.when(number != "", number.cast("int")), F.lit(0)), F.when(year, F.lit(12)))
+    text = phrase if ready else date_text(phrase)
+    patterns = [rf"\b(\d{{1,2}})\s+{AHEAD[0]}\b", rf"\b{BEFORE_START}\b", *(rf"\b(\d{{1,2}})\s+{p}\b" for p in AHEAD[1:])]
+    numbers = [F.nullif(F.regexp_extract(text, p, 1).try_cast("int"), F.lit(0)) for p in patterns]
+    return F.coalesce(*numbers, F.when(text.rlike(rf"\b(?:{'|'.join(YEAR_AHEAD)})\b"), F.lit(12)))

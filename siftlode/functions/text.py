@@ -6,16 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accented Latin letters and their bases.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+ACCENTED = "àáâãäåāăąçćčďèéêëēėęěğìíîïīįķļłñńņňòóôõöōőŕřśşšţťùúûüūůűųŵýÿŷźżž"
+PLAIN = "aaaaaaaaacccdeeeeeeeegiiiiiikllnnnnooooooorrsssttuuuuuuuuwyyyzzz"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-IMAGE = r"\.(png|jpg|jpeg|gif|svg|webp)$"
+IMAGE = r"\.(avif|gif|jpe?g|png|svg|webp)$"
 HIDDEN_TAGS = ("script", "style", "noscript", "template", "nav", "footer", "header", "aside")
 
 
 def fold(c: Column) -> Column:
-    """Lower case without accents."""
-    return F.translate(F.lower(c), ACCENTED, PLAIN)
+    """Lower case without accents, combining marks included."""
+    return F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), "[\u0300-\u036f]", "")
 
 
 def squeeze(c: Column) -> Column:
@@ -36,7 +36,7 @@ def text_hash(c: Column) -> Column:
 
 def emails(c: Column) -> Column:
     """Sorted distinct lower-case addresses that are no image names."""
-    found = F.transform(F.regexp_extract_all(c, F.lit(EMAIL), F.lit(0)), F.lower)
+    found = F.transform(F.regexp_extract_all(c, F.lit(EMAIL), F.lit(0)), lambda x: F.lower(F.regexp_replace(x, "[),.;:]+$", "")))
     return F.array_sort(F.array_distinct(F.filter(found, lambda x: ~x.rlike(IMAGE))))
 
 
