@@ -32,12 +32,16 @@ def counted(folded: Column, words) -> Column:
     return sum((F.contains(folded, F.lit(w)).cast("int") for w in words), F.lit(0))
 
 
+def language_words(language: str) -> list[str]:
+    """The folded words that speak for a language; a word that stands twice counts twice."""
+    names = [_folded(n) for by in lex.DEPARTMENTS.values() for n in by[language]]
+    return [*lex.ROLES[language], *lex.TWICE.get(language, ()), *lex.APPLICATIONS[language], *lex.AVAILABLE[language], *lex.UNAVAILABLE[language], *names]
+
+
 def language_scores(text: Column) -> list[tuple[str, Column]]:
     """Words of each language that the text holds."""
     folded = fold(text)
-    names = lambda language: [_folded(n) for by in lex.DEPARTMENTS.values() for n in by[language]]
-    words = lambda language: [*lex.ROLES[language], *lex.TWICE.get(language, ()), *lex.APPLICATIONS[language], *lex.AVAILABLE[language], *lex.UNAVAILABLE[language], *names(language)]
-    return [(language, counted(folded, words(language))) for language in lex.LANGUAGES]
+    return [(language, counted(folded, language_words(language))) for language in lex.LANGUAGES]
 
 
 def detected_language(text: Column) -> Column:

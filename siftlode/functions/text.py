@@ -46,10 +46,13 @@ def sentences(c: Column) -> Column:
     return F.filter(F.transform(parts, squeeze), lambda x: x != "")
 
 
+#: Lines with these are not published.
+PRIVATE = r"(?i)private|unredacted|screenshot|attachment|email"
+
+
 def without_private_lines(c: Column) -> Column:
     """Lines that mention private matter are dropped."""
-    private = r"(?i)private|unredacted|screenshot|attachment|e-?mail"
-    return F.array_join(F.filter(F.split(c, "\r?\n"), lambda x: ~x.rlike(private)), "\n")
+    return F.array_join(F.filter(F.split(c, "\r?\n"), lambda x: ~x.rlike(PRIVATE)), "\n")
 
 
 def html_title(html: Column) -> Column:

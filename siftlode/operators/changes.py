@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,3 +29,54 @@ def page_changes(previous: DataFrame, current: DataFrame, key: list[str], text_h
     kinds = F.array_compact(F.array(F.when(is_new, "new-source"), F.when(is_failed, "error"), F.when(changed, "content-changed")))
     out = both.select(*key, F.explode(kinds).alias("change_type"))
     return out.withColumn("severity", F.when(F.col("change_type") == "new-source", "info").otherwise("review"))
+
+
+#: Ranks by which changes are sorted, the gravest first.
+SEVERITY = {"critical": 3, "review": 2, "info": 1}
+
+
+def label(institution: Column, department: Column, role: Column) -> Column:
+    """How messages name a record; empty parts are left out."""
+    return F.concat_ws(" / ", *(F.nullif(c, F.lit("")) for c in (institution, department, role)))
+
+
+def told_availability(status: Column, start: Column, until: Column) -> Column:
+    date = F.coalesce(start, until, F.when(status == "not-specified", "no date"))
+    return F.when(date.isNotNull(), F.concat(status, F.lit(" ("), date, F.lit(")"))).otherwise(status)
+
+
+def described(before: DataFrame, after: DataFrame, volatile: list[str] = ("checked", "modified")) -> DataFrame:
+    """The changes of records ``(id, source_id, url, institution, department, role_type, status, available_from, booked_until, ...)`` with
+    ``change_id`` (a hash of what changed), ``message``, and both sides as JSON."""
+    found = record_changes(before, after, "id", ["status", "available_from", "booked_until"], [c for c in volatile if c in before.columns])
+    side = lambda df, name: df.select("id", F.struct(*(F.col(c) for c in sorted(df.columns))).alias(name))
+    both = found.join(side(before, "b"), "id", "left").join(side(after, "a"), "id", "left")
+    now = F.coalesce("a", "b")
+    named = label(now["institution"], now["department"], now["role_type"])
+    told = lambda x: told_availability(x["status"], x["available_from"], x["booked_until"])
+    kind = F.col("change_type")
+    moved = F.concat(F.lit("Availability changed for "), named, F.lit(": "), told(F.col("b")), F.lit(" -> "), told(F.col("a")), F.lit("."))
+    message = (
+        F.when(kind == "record-added", F.concat(F.lit("Placement added: "), named, F.lit(".")))
+        .when(kind == "record-removed", F.concat(F.lit("Placement removed: "), named, F.lit(".")))
+        .when(kind == "availability-changed", moved)
+        .otherwise(F.concat(F.lit("Parser output changed for "), named, F.lit(".")))
+    )
+    brief = lambda x: F.when(kind == "availability-changed", F.to_json(F.struct(*(x[c].alias(c) for c in ("available_from", "booked_until", "status"))), {"ignoreNullFields": "false"})).otherwise(F.to_json(x, {"ignoreNullFields": "false"}))
+    out = both.select("id", now["source_id"].alias("source_id"), now["url"].alias("url"), "change_type", "severity", brief(F.col("b")).alias("before"), brief(F.col("a")).alias("after"), message.alias("message"))
+    identity = F.to_json(F.struct("after", "before", "change_type", "message", "severity", "source_id", "url"), {"ignoreNullFields": "false"})
+    return out.withColumn("change_id", F.concat(F.lit("change-"), F.substring(F.sha2(identity, 256), 1, 16)))
+
+
+def merged(*changes: DataFrame) -> DataFrame:
+    """The union of changes, each ``change_id`` once."""
+    out = changes[0]
+    for c in changes[1:]:
+        out = out.unionByName(c, allowMissingColumns=True)
+    return out.dropDuplicates(["change_id"])
+
+
+def order() -> list[Column]:
+    """The gravest first, then by type and id."""
+    rank = F.coalesce(*(F.when(F.col("severity") == s, F.lit(n)) for s, n in SEVERITY.items()))
+    return [rank.desc(), F.col("change_type").asc(), F.col("change_id").asc()]

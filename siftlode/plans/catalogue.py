@@ -386,7 +386,7 @@ def phrase_month(spark, d):
 
 _DURATION_PHRASES = {
     "mindestens 3 Monate": (12, None), "2 bis 5 Wochen": (2, 5), "au moins 8 semaines": (8, None), "2 a 4 mois": (8, 16), "von einem, zwei oder vier Monaten": (4, 16),
-    "ProgrammdauerAb einem MonatLeitungDr.": (4, None), "Programmdauer2-3 Monate": (8, 12), "zwischen zwei und vier Monaten": (8, 16), "three weeks": (3, 3),
+    "ProgrammdauerAb einem MonatProgrammleitungDr.": (4, None), "Programmdauer2-3 Monate": (8, 12), "zwischen zwei und vier Monaten": (8, 16), "three weeks": (3, 3),
     "Bewerbungen 6 Monate im Voraus": (None, None), "ab August 2027": (None, None), "": (None, None),
 }
 
@@ -408,4 +408,4 @@ _AVAILABILITY_PHRASES = {
 @query("select * from (values " + ", ".join("(" + ", ".join(f"'{x}'" if x is not None else "null" for x in (k, *v)) + ")" for k, v in _AVAILABILITY_PHRASES.items()) + ") as t(phrase, status, available_from, booked_until)")
 def phrase_availability(spark, d):
     rows = spark.createDataFrame([(p,) for p in _AVAILABILITY_PHRASES], "phrase string")
-    return rows.select("phrase", availability.availability(F.col("phrase")).alias("a")).select("phrase", "a.*")
+    return rows.select("phrase", availability.availability(F.col("phrase")).alias("a")).select("phrase", "a.status", "a.available_from", "a.booked_until")

@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from siftlode.plans import catalogue, flagship
+from siftlode.plans import catalogue, domain, flagship
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -28,10 +28,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql() | domain.oracle_sql()))
 def test_rows(spark, duck, name):
-    ours = catalogue.queries()[name](spark, FOLDER)
-    theirs = duck.execute(catalogue.oracle_sql()[name])
+    ours = (catalogue.queries() | domain.queries())[name](spark, FOLDER)
+    theirs = duck.execute((catalogue.oracle_sql() | domain.oracle_sql())[name])
     names = [c[0] for c in theirs.description]
     assert sorted(ours.columns) == sorted(names)
     want = sorted((tuple(map(plain, r)) for r in theirs.fetchall()), key=str)
