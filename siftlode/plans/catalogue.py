@@ -46,8 +46,9 @@ def enrich_left_join(spark, d):
     sources = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     sources = sources.select(F.col("c_custkey").alias("source_id"), F.col("c_name").alias("institution"), F.col("n_name").alias("canton"), F.col("c_mktsegment").alias("institution_type"))
     records = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("source_id"), F.lit(None).cast("string").alias("institution"), F.lit(None).cast("string").alias("canton"), F.lit("unknown").alias("institution_type"))
-    out = joins.enrich(records, sources, "source_id", ["institution", "institution_type"])
-    return joins.enrich(out, sources, "source_id", fill={"canton": F.col("institution_type") == "BUILDING"}).drop("source_id")
+    # the type that fills the canton is the lookup's
+    out = joins.enrich(records, sources, "source_id", ["institution", "institution_type"], {"canton": F.col("institution_type") == "BUILDING"})
+    return out.drop("source_id")
 
 
 @query("""
@@ -314,12 +315,17 @@ def token_overlap_match(spark, d):
     return search.token_matches(names, names).withColumn("score", F.round("score", 9))
 
 
-@query("select page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[\\s\\x{a0}]+', ' ', 'g')) as title from pages")
+@query("select page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[\\s\\x{a0}]+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as title from pages")
 def html_title(spark, d):
     return table(spark, d, "pages").select("page_id", text.html_title(F.col("html")).alias("title"))
 
 
-@query()
+_VISIBLE = "regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', ' ', 'g'), '(?is)<head[^>]*>.*?</head>', ' ', 'g')"
+for _tag in text.HIDDEN_TAGS:
+    _VISIBLE = f"regexp_replace({_VISIBLE}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}>', ' ', 'g')"
+
+
+@query(f"select page_id, length(t) as n_chars, sha256(t) as hash from (select page_id, trim(regexp_replace(regexp_replace({_VISIBLE}, '(?s)<[^>]*>', ' ', 'g'), '[\\s\\x{{a0}}]+', ' ', 'g')) as t from pages)")
 def html_visible_text_stats(spark, d):
     words = text.visible_text(F.col("html"))
     return table(spark, d, "pages").select("page_id", F.char_length(words).cast("long").alias("n_chars"), F.sha2(words, 256).alias("hash"))

@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftlode.functions import availability, dates, text
+from siftlode.functions import availability, dates, html, text
 from siftlode.functions import lexicon as lex
 from siftlode.functions import placement as pl
-from siftlode.operators import changes, crawl, evidence, matching, quality, rules
+from siftlode.operators import changes, crawl, evidence, matching, parsers, quality, rules
 from siftlode.sources import json_files
 from siftlode.sources.tables import table
 
@@ -133,8 +133,8 @@ def record_review_reasons(spark, d):
 select key, reasons, rank from (select *, row_number() over (order by len(string_split(reasons, '; ')) * cast(reasons <> '' as int) desc, case confidence when 'low' then 0 when 'medium' then 1 else 2 end, institution, id, key) as rank from q) where rank <= 500""")
 def review_queue(spark, d):
     """The head of the review queue: five reasons, most first. The limit is the report's."""
-    parsers = sources(spark, d).select(F.col("id").alias("source_id"), F.transform("urls", lambda u: u["parser"]).alias("parsers"))
-    rows = _seen(spark, d).join(parsers, "source_id", "left")
+    known = sources(spark, d).select(F.col("id").alias("source_id"), F.transform("urls", lambda u: u["parser"]).alias("parsers"))
+    rows = _seen(spark, d).join(known, "source_id", "left")
     rows = rows.withColumn("parser_type", quality.parser_type(F.col("parsers")))
     rows = rows.withColumn("fired", rules.fired(quality.priority_reasons())).withColumns({"reasons": _flat(F.col("fired")), "priority": F.size("fired")})
     order = [*quality.queue_order(), F.col("key").asc()]
@@ -525,3 +525,42 @@ _SCORES = ", ".join("+".join("contains(t, '" + w.replace("'", "''") + "')::int"
 def language_score(spark, d):
     """The language whose words a text has most of."""
     return table(spark, d, "documents").select("doc_id", pl.detected_language(F.col("text")).alias("language"))
+
+
+#: Pages about customers, by a digit of their keys: two hospitals with parsers of their own, a page for the generic one, and one without places.
+PAGE = {
+    "key": "c_custkey",
+    "source_id": "concat('s', cast(c_custkey as string))",
+    "url": "concat('https://', case c_custkey % 4 when 0 then 'www.ksw.ch' when 1 then 'ksgr.ch' else 'haus.example' end, '/', cast(c_custkey as string))",
+    "title": "case when c_custkey % 4 > 1 then concat('Stellen | Haus ', cast(c_custkey % 10 as string)) end",
+    "visible_text": "case c_custkey % 4 when 0 then concat('Wahlstudienjahr an der Augenklinik ab Juni ', cast(2027 + c_custkey % 3 as string), '.') "
+    "when 1 then concat('Unterassistenz bei uns. Die Chirurgie ist ausgebucht bis Ende ', cast(2027 + c_custkey % 3 as string), '.') when 2 then 'Famulatur in der Pädiatrie, Bewerbungen jederzeit.' else 'Die Kantine hat offen.' end",
+    "href": "concat('https://', case when c_custkey % 8 = 2 then 'haus.example' else 'fern.example' end, '/bewerbung')",
+    "source_language": "case when c_custkey % 5 = 0 then 'de' else 'unknown' end",
+    "expected_parser": "case when c_custkey % 7 = 0 then 'generic' end",
+}
+
+
+@query("""select c_custkey as key, case c_custkey % 4 when 0 then 'ksw' when 1 then 'ksgr' else 'generic' end as parser, case c_custkey % 4 when 0 then 'Kantonsspital Winterthur' when 1 then 'Kantonsspital Graubünden' else 'Haus ' || c_custkey % 10 end as institution,
+  case c_custkey % 4 when 0 then 'ophthalmology' when 1 then 'surgery' else 'pediatrics' end as department, case c_custkey % 4 when 0 then 'Wahlstudienjahr' when 1 then 'Unterassistenz' else 'Famulatur' end as role_type,
+  case c_custkey % 4 when 0 then 'available-from' when 1 then 'fully-booked-until' else 'application-only' end as status, case when c_custkey % 4 = 0 then (2027 + c_custkey % 3) || '-06' end as available_from,
+  case when c_custkey % 4 = 1 then (2027 + c_custkey % 3) || '-12' end as booked_until, case when c_custkey % 4 = 1 then 'not-specified' when c_custkey % 8 = 2 then 'online-form' else 'external-platform' end as method,
+  case c_custkey % 4 when 2 then 'medium' else 'high' end as confidence, case c_custkey % 4 when 0 then 'auto-published' else 'needs-human-review' end as review_status from customer where c_custkey % 4 <> 3""")
+def parse_pages(spark, d):
+    """Records of a page for each customer, by the parser that its host and words choose."""
+    rows = _made(table(spark, d, "customer"), PAGE).withColumns({"links": F.array(F.struct(F.lit("Bewerbung").alias("text"), F.col("href"))), "emails": F.array().cast("array<string>")})
+    out = parsers.parse(rows.drop("href"))
+    return out.select("key", "parser", "institution", F.col("department_normalized").alias("department"), "role_type", "status", "available_from", "booked_until", "method", "confidence", "review_status")
+
+
+_SHOWN = "html"
+for _tag in text.HIDDEN_TAGS:
+    _SHOWN = f"regexp_replace({_SHOWN}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}>', ' ', 'g')"
+
+
+@query(f"""select page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[\\s\\x{{a0}}]+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as title,
+  cast(len(list_distinct(regexp_extract_all({_SHOWN}, '(?is)<a\\s[^>]*href="([^"#]+)[^>]*>[^<]*\\S[^<]*</a>', 1))) as bigint) as n_links from pages""")
+def page_content(spark, d):
+    """Title and links of pages as a browser shows them."""
+    shown = table(spark, d, "pages").select("page_id", html.page(F.col("html"), F.concat(F.lit("https://h.example/"), "url")).alias("p"))
+    return shown.select("page_id", "p.title", F.size("p.links").cast("long").alias("n_links"))
