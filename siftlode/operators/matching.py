@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftlode.functions import placement as pl
+from siftlode.operators.search import sharing
 
 #: Share of the smaller name's tokens that a match shares at least, and tokens of a name that need more than one.
 SHARED, LEAST = 0.75, 2
@@ -39,19 +40,11 @@ def _named(df: DataFrame, name: str) -> DataFrame:
 def candidates(baseline: DataFrame, known: DataFrame) -> DataFrame:
     """(id, key, tier) of the pairs that match, in the best tier of each pair; candidates meet on a key, an alias or one of their rarest tokens.
 
-    Two names that share three quarters of the smaller one's tokens share one of its rarest ones already, so that frequent tokens make no pairs.
+    A name of one token meets all that have it; two that share three quarters of the smaller one's tokens share one of its rarest ones already.
     """
     a = _named(baseline, "name").select("id", F.col("key").alias("a_key"), F.col("alias").alias("a_alias"), F.col("tokens").alias("a_tokens"))
     b = _named(known, "institution").select(F.col("key").alias("b_key"), F.col("alias").alias("b_alias"), F.col("tokens").alias("b_tokens"))
-    often = b.select(F.explode(F.array_distinct("b_tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-
-    def rarest(df: DataFrame, key: str, tokens: str) -> DataFrame:
-        """The tokens of each name but as many of its most frequent ones as three quarters of them need not hold."""
-        rows = df.select(key, tokens, F.explode(F.array_distinct(tokens)).alias("token")).join(often, "token")
-        ranked = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("all"), F.first(F.size(F.array_distinct(tokens))).alias("size"))
-        return ranked.select(key, F.explode("all.token").alias("token"))
-
-    met = rarest(a, "id", "a_tokens").join(rarest(b, "b_key", "b_tokens"), "token").select("id", "b_key")
+    met = sharing(a, b, "id", "b_key", "a_tokens", "b_tokens", SHARED)
     met = met.union(a.join(b, F.col("a_alias") == F.col("b_alias")).select("id", "b_key")).distinct()
     pairs = met.join(a, "id").join(b, "b_key")
     shared = F.size(F.filter("a_tokens", lambda t: F.array_contains("b_tokens", t)))
