@@ -77,3 +77,11 @@ def test_chain_and_empty_table(spark):
     rows = [(i, " ".join(base[i * 2 : 60 + i * 2])) for i in range(20)]
     assert run(spark, rows) == brute(rows)
     assert run(spark, []) == []
+
+
+def test_rows_without_ids_link_others(spark):
+    """A chain whose middle has no id is one component, named by the ids at its ends; a text of nothing but null ids has none."""
+    base = [f"c{i}" for i in range(100)]
+    text = lambda k: " ".join(base[k * 3 : 60 + k * 3])
+    rows = [(5, text(0)), (None, text(1)), (7, text(2)), (None, "alone and without any number"), (None, "alone and without any number")]
+    assert run(spark, rows) == brute(rows)
