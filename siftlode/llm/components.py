@@ -17,8 +17,8 @@ from siftlode.llm.workspace import Workspace, checked_join
 
 #: The low bits of a key that number its part.
 PART_BITS = 63
-#: Further members of a key group, at most, that those the hub does not reach are compared with.
-DELEGATES = 8
+#: Further members of a key group, at most, that those the hub does not reach are compared with; fewer where a complete search follows.
+DELEGATES, FEW = 8, 2
 
 
 def connected_components(ws: Workspace, links: DataFrame, name: str) -> DataFrame:
@@ -94,7 +94,7 @@ def link_components(
     if not rest.limit(1).count():
         return labels
     # members beyond the hub's reach meet a few others, of the largest component for the most part
-    met = rest.groupBy("key", F.pmod("node", F.lit(DELEGATES)).alias("slot")).agg(F.min(F.struct("node", "size", "comp")).alias("hub"))
+    met = rest.groupBy("key", F.pmod("node", F.lit(DELEGATES if tokens is None else FEW)).alias("slot")).agg(F.min(F.struct("node", "size", "comp")).alias("hub"))
     met = met.select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.comp").alias("hub_comp"))
     pairs = rest.join(met, "key").filter((F.col("comp") != F.col("hub_comp")) & near).select(*pair).distinct()
     more = ws.write(pairs.join(tried, ["a", "b"], "left_anti"), "pairs-1")
