@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlode.llm.bm25_wand import search
+from siftlode.llm.language_id import languages
 from siftlode.llm.license_scan import scan_licenses
 from siftlode.llm.line_dedup import dedup_lines
 from siftlode.llm.media_jpeg import media_columns
 from siftlode.llm.mixing import mix
 from siftlode.llm.ngram_join import near_duplicates
 from siftlode.llm.packing import pack_documents
+from siftlode.llm.periodic_runs import periodic_runs
 from siftlode.llm.quality_gam import quality
 from siftlode.llm.toxicity import toxicity
+from siftlode.llm.turn_repair import damaged, repair
 from siftlode.llm.warc import archived
 
 
@@ -66,8 +69,20 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), looped=True)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media_jpeg, op2_quality_gam, op3_bm25_wand, op4_mixing, op5_license_scan, op6_packing, op7_toxicity, op8_line_dedup, op9_warc, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_media_jpeg, op2_quality_gam, op3_bm25_wand, op4_mixing, op5_license_scan, op6_packing, op7_toxicity, op8_line_dedup, op9_warc, op10_ngram_join, op11_turn_repair, op12_periodic_runs, op13_language_id)}
 
 
 #: Base32 from the bits of the hexadecimal digest.
