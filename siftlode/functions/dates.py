@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siftlode.functions.text import fold
+from siftlode.functions.text import fold, let
 
 # Folded month names by month.
 MONTHS = {
@@ -91,31 +91,46 @@ def months_observed(checked: Column, available_from: Column, booked_until: Colum
     return F.when(n >= 0, n)
 
 
-def parse_month(phrase: Column, language: Column | None = None, ready: bool = False) -> Column:
+#: Date, year end, or month with its year, in text that went through ``date_text``.
+DAY, YEAR_END = r"\b\d{1,2}\.\d{1,2}\.\d{4}\b", r"\b(?:ende|fin|fine) (\d{4})\b"
+_NAMES = sorted((n for group in MONTHS.values() for n in group), key=len, reverse=True)
+NAMED = rf"\b(?:{'|'.join(_NAMES)}) \d{{4}}\b"
+
+
+def month_of(text: Column, language: Column | None = None) -> Column:
+    """``parse_month`` of a text that went through ``date_text``."""
+    number = F.create_map(*(F.lit(x) for m, group in MONTHS.items() for n in group for x in (n, f"{m:02d}")))
+    date = let(F.regexp_extract(text, DAY, 0), lambda d: F.when(d != "", F.date_format(F.try_to_date(d, "d.M.yyyy"), "yyyy-MM-dd")))
+    year_end = F.concat(F.nullif(F.regexp_extract(text, YEAR_END, 1), F.lit("")), F.lit("-12"))
+
+    def named(found: Column) -> Column:
+        name = F.substring_index(found, " ", 1)
+        known = found != "" if language is None else (found != "") & ~(F.coalesce(language == "de", F.lit(False)) & name.isin("mars", "mai"))
+        return F.when(known, F.concat_ws("-", F.substring_index(found, " ", -1), F.try_element_at(number, name)))
+
+    said = F.coalesce(date, year_end, let(F.regexp_extract(text, NAMED, 0), named))
+    return F.when(text.rlike(r"\d{4}") & ~says(text, (*DEADLINE, *ARRANGED)), said)
+
+
+def parse_month(phrase: Column, language: Column | None = None) -> Column:
     """A phrase's first date, year end or month name with year, as YYYY-MM-DD or YYYY-MM; null without any.
 
-    Phrases about deadlines or mere arrangement have no month. In German, mars and mai are no months, as the survey says. ready: the
-    phrase went through ``date_text``.
+    Phrases about deadlines or mere arrangement have no month. In German, mars and mai are no months, as the survey says.
     """
-    text = phrase if ready else date_text(phrase)
-    day = [F.regexp_extract(text, r"\b(\d{1,2})\.(\d{1,2})\.(\d{4})\b", i) for i in (1, 2, 3)]
-    iso = F.concat_ws("-", day[2], F.lpad(day[1], 2, "0"), F.lpad(day[0], 2, "0"))
-    date = F.when(day[0] != "", F.when(F.try_to_date(iso, "yyyy-MM-dd").isNotNull(), iso))
-    year_end = F.regexp_extract(text, r"\b(?:ende|fin|fine)\s+(\d{4})\b", 1)
-    names = [n for group in MONTHS.values() for n in group]
-    number = F.create_map(*(F.lit(x) for m, group in MONTHS.items() for n in group for x in (n, f"{m:02d}")))
-    name, year = (F.regexp_extract(text, rf"\b({'|'.join(sorted(names, key=len, reverse=True))})\s+(\d{{4}})\b", i) for i in (1, 2))
-    known = name != ""
-    if language is not None:
-        known &= ~(F.coalesce(language == "de", F.lit(False)) & name.isin("mars", "mai"))
-    named = F.when(known, F.concat_ws("-", year, F.try_element_at(number, name)))
-    barred = says(text, DEADLINE) | says(text, ARRANGED)
-    return F.when(~barred, F.coalesce(date, F.when(year_end != "", F.concat(year_end, F.lit("-12"))), named))
+    return let(date_text(phrase), lambda text: month_of(text, language))
 
 
-def lead_months(phrase: Column, ready: bool = False) -> Column:
-    """Months in advance that a phrase names; a year is twelve, zero is none."""
-    text = phrase if ready else date_text(phrase)
+#: Words of which a lead time has one.
+_LEADING = r"\b(?:voraus|vorher|vorlauf|vor|avance|avant|anticipo|prima|advance)\b"
+
+
+def lead_of(text: Column) -> Column:
+    """``lead_months`` of a text that went through ``date_text``."""
     patterns = [rf"\b(\d{{1,2}})\s+{AHEAD[0]}\b", rf"\b{BEFORE_START}\b", *(rf"\b(\d{{1,2}})\s+{p}\b" for p in AHEAD[1:])]
     numbers = [F.nullif(F.regexp_extract(text, p, 1).try_cast("int"), F.lit(0)) for p in patterns]
-    return F.coalesce(*numbers, F.when(text.rlike(rf"\b(?:{'|'.join(YEAR_AHEAD)})\b"), F.lit(12)))
+    return F.when(text.rlike(_LEADING), F.coalesce(*numbers, F.when(text.rlike(rf"\b(?:{'|'.join(YEAR_AHEAD)})\b"), F.lit(12))))
+
+
+def lead_months(phrase: Column) -> Column:
+    """Months in advance that a phrase names; a year is twelve, zero is none."""
+    return let(date_text(phrase), lead_of)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 LANGUAGES = ("de", "fr", "it", "en")
+# A word that stands twice, with and without accent, counts twice.
 ROLES = {
     "de": ("unterassistenz", "unterassistent", "unterassistentin", "wahlstudienjahr", "praktisches jahr", "pj", "famulatur", "medizinstudierende"),
-    "fr": ("stage", "stagiaire", "sous-assistant", "sous-assistante", "etudiant en medecine"),
+    "fr": ("stage", "stagiaire", "sous-assistant", "sous-assistante", "etudiant en medecine", "etudiant en medecine"),
     "it": ("tirocinio", "stage", "studente di medicina", "studenti di medicina"),
     "en": ("clinical placement", "medical student", "elective", "internship"),
 }
@@ -15,7 +16,6 @@ APPLICATIONS = {
     "it": ("candidatura", "contatto", "formulario"),
     "en": ("application", "apply", "contact", "form"),
 }
-# A word that stands twice, with and without accent, counts twice.
 AVAILABLE = {
     "de": ("ab sofort", "freie platze", "freie platze", "verfugbar", "verfugbar"),
     "fr": ("des maintenant", "des maintenant", "disponible", "places disponibles"),
@@ -28,8 +28,6 @@ UNAVAILABLE = {
     "it": ("occupato", "nessun posto disponibile", "posti esauriti"),
     "en": ("fully booked", "no places available"),
 }
-# French role words of which one stands twice, with and without accent.
-TWICE = {"fr": ("etudiant en medecine",)}
 DEPARTMENTS = {
     "internal-medicine": {"de": ("Innere Medizin",), "fr": ("Médecine interne", "Medecine interne"), "it": ("Medicina interna",), "en": ("Internal medicine",)},
     "surgery": {"de": ("Chirurgie",), "fr": ("Chirurgie",), "it": ("Chirurgia",), "en": ("Surgery",)},

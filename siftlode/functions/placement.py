@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from siftlode.functions import lexicon as lex
 from siftlode.functions.dates import date_text, says, text_month_index
-from siftlode.functions.text import fold, slug, squeeze, title_case
+from siftlode.functions.text import fold, let, slug, squeeze, title_case
 
 # Wordings of a full house that a record's own text may have.
 BOOKED_IN_TEXT = ("ausgebucht", "keine freien platze", "keine freien stellen", "complet", "aucune place disponible", "occupato", "nessun posto disponibile", "fully booked")
 # Role types by the folded wordings that show them, in order.
 ROLE_TYPES = (("Unterassistenz", r"\bunterassist"), ("Wahlstudienjahr", r"\bwahlstudienjahr"), ("PJ", r"\bpraktisches\s+jahr\b|\bpj\b"), ("Famulatur", r"\bfamulatur"))
-FRENCH_ROLE = r"\b(?:stage|sous-assistant|etudiant\s+en\s+medecine)\b"
 ROLE_WORDS = r"(?i)\b(unterassistenz|unterassistent(?:in)?|wahlstudienjahr|praktisches\s+jahr|pj|famulatur|sous-assistant(?:e)?|stage|tirocinio|clinical placement|elective)\b"
 
 
@@ -35,20 +34,18 @@ def counted(folded: Column, words) -> Column:
 def language_words(language: str) -> list[str]:
     """The folded words that speak for a language; a word that stands twice counts twice."""
     names = [_folded(n) for by in lex.DEPARTMENTS.values() for n in by[language]]
-    return [*lex.ROLES[language], *lex.TWICE.get(language, ()), *lex.APPLICATIONS[language], *lex.AVAILABLE[language], *lex.UNAVAILABLE[language], *names]
+    return [*lex.ROLES[language], *lex.APPLICATIONS[language], *lex.AVAILABLE[language], *lex.UNAVAILABLE[language], *names]
 
 
-def language_scores(text: Column) -> list[tuple[str, Column]]:
-    """Words of each language that the text holds."""
-    folded = fold(text)
-    return [(language, counted(folded, language_words(language))) for language in lex.LANGUAGES]
+def folded_language(folded: Column) -> Column:
+    """The language of a folded text: that with the most words in it, the earlier in order on a tie."""
+    scores = F.array(*(counted(folded, language_words(language)) for language in lex.LANGUAGES))
+    return let(scores, lambda n: F.element_at(F.array(*map(F.lit, lex.LANGUAGES)), F.array_position(n, F.array_max(n)).cast("int")))
 
 
 def detected_language(text: Column) -> Column:
     """The language with the most words, the earlier in order on a tie."""
-    scores = language_scores(text)
-    best = F.greatest(*(s for _, s in scores))
-    return F.coalesce(*(F.when(s == best, F.lit(name)) for name, s in scores))
+    return let(fold(text), folded_language)
 
 
 def _folded(name: str) -> str:
@@ -71,10 +68,6 @@ def role_type(text: Column, default: Column | str = "ClinicalPlacement") -> Colu
     return out.otherwise(default)
 
 
-def generic_role_type(text: Column) -> Column:
-    return role_type(text, F.when(fold(text).rlike(FRENCH_ROLE), "ClinicalPlacement").otherwise("Unknown"))
-
-
 def original_role(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, ROLE_WORDS, 1), F.lit(""))
 
@@ -162,10 +155,11 @@ def host(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]+)", 1)), F.lit(""))
 
 
-def application_method(url: Column, page: Column, email: Column | None = None) -> Column:
-    same = F.coalesce(host(url) == host(page), F.lit(False))
+def application_method(url: Column, page: Column, email: Column | None = None, no_url: str = "unknown") -> Column:
+    """How to apply; ``no_url`` where a link or the page's address is no URL."""
     other = F.lit("not-specified") if email is None else F.when(email.isNotNull(), "email").otherwise("not-specified")
-    return F.when(url.isNull(), other).when(same, "online-form").otherwise("external-platform")
+    ours, theirs = host(page), host(url)
+    return F.when(url.isNull(), other).when(ours.isNull() | theirs.isNull(), no_url).when(ours == theirs, "online-form").otherwise("external-platform")
 
 
 def placement_id(institution: Column, department: Column, role: Column, source: Column, url: Column) -> Column:

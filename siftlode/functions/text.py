@@ -2,20 +2,50 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented Latin letters and their bases.
-ACCENTED = "àáâãäåāăąçćčďèéêëēėęěğìíîïīįķļłñńņňòóôõöōőŕřśşšţťùúûüūůűųŵýÿŷźżž"
-PLAIN = "aaaaaaaaacccdeeeeeeeegiiiiiikllnnnnooooooorrsssttuuuuuuuuwyyyzzz"
+
+def _decomposed() -> tuple[str, str]:
+    """All letters whose canonical decomposition is one letter and marks, and those letters, lower-case ones."""
+    pairs = []
+    for c in map(chr, range(0x80, sys.maxunicode + 1)):
+        base, *marks = unicodedata.normalize("NFD", c)
+        if marks and c == c.lower() and all(map(unicodedata.combining, marks)):
+            pairs.append((c, base))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+ACCENTED, PLAIN = _decomposed()
+#: Marks by themselves: combining ones, and those that stand in a place of their own.
+MARKS = "[\u0300-\u036f\u0483-\u0487\u0591-\u05bd\u064b-\u0652\u1ab0-\u1abe\u1dc4-\u1dff^`\u00a8\u00af\u00b4\u00b7\u00b8\u02b0-\u02ff]"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 IMAGE = r"\.(avif|gif|jpe?g|png|svg|webp)$"
 HIDDEN_TAGS = ("script", "style", "noscript", "template", "nav", "footer", "header", "aside")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is reckoned once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: The edge of a word of ASCII letters, digits and underscores; other letters are no part of words.
+EDGE = r"(?:(?<!\w)(?=\w)|(?<=\w)(?!\w))"
+
+
+def ascii_words(pattern: str) -> str:
+    """The pattern, in any case, with word edges of ASCII words."""
+    return "(?iu)" + pattern.replace(r"\b", EDGE)
+
+
 def fold(c: Column) -> Column:
     """Lower case without accents, combining marks included."""
-    return F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), "[\u0300-\u036f]", "")
+    plain = lambda low: F.replace(F.replace(low, F.lit("^"), F.lit("")), F.lit("`"), F.lit(""))
+    return let(F.lower(c), lambda low: F.when(F.octet_length(low) == F.char_length(low), plain(low)).otherwise(F.regexp_replace(F.translate(low, ACCENTED, PLAIN), MARKS, "")))
 
 
 def squeeze(c: Column) -> Column:
