@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siftlode.functions.dates import ARRANGED, any_of, date_text, lead_of, month_of, says
-from siftlode.functions.text import let
+from siftlode.functions.text import full, let, lookup
 
 # Folded number words.
 NUMBERS = {
@@ -53,15 +53,14 @@ _AT_LEAST, _SINGLE = rf"\b{any_of(LEAST)}\s+{_ONE}\s+({_MONTH}|{_WEEK})\b", rf"\
 
 def weeks_of(text: Column) -> Column:
     """``duration_weeks`` of a text that went through ``date_text``."""
-    values = F.create_map(*(F.lit(x) for pair in NUMBERS.items() for x in pair))
-    number = lambda x: F.coalesce(x.try_cast("int"), F.try_element_at(values, x))
+    number = lambda x: let(x, lambda n: F.when(n.rlike("^[0-9]"), n.cast("int")).otherwise(lookup(NUMBERS, n).cast("int")))
     pair = lambda lo, hi: F.struct(lo.cast("int").alias("min_weeks"), hi.cast("int").alias("max_weeks"))
-    weeks = lambda unit: F.when(unit.rlike("^m"), 4).otherwise(1)
+    weeks = lambda unit: F.when(F.startswith(unit, F.lit("m")), 4).otherwise(1)
     nothing = F.lit(None).cast("int")
 
     def first(pattern: str, said, other: Column) -> Column:
         """What is made of the pattern's parts where it stands, else the other."""
-        part = lambda found: lambda i: F.nullif(F.regexp_extract(found, pattern, i), F.lit(""))
+        part = lambda found: lambda i: full(F.regexp_extract(found, pattern, i))
         return let(F.regexp_extract(text, pattern, 0), lambda found: F.when(found != "", said(part(found))).otherwise(other))
 
     def listed(part):
@@ -71,7 +70,8 @@ def weeks_of(text: Column) -> Column:
     least = first(_AT_LEAST, lambda part: pair(number(part(1)) * weeks(part(2)), nothing), single)
     in_weeks = first(_IN_WEEKS, lambda part: pair(number(part(1)), number(part(2))), least)
     in_months = first(_IN_MONTHS, lambda part: pair(number(part(1)) * 4, number(part(2)) * 4), in_weeks)
-    some = text.rlike(rf"{_MONTHS}|{_WEEK}") & (~says(text, AHEAD) | F.contains(text, F.lit("dauer")))
+    # whatever unit a text has, one of these is part of it
+    some = text.rlike("mon|moi|mes|woch|sem|sett|wee") & (~says(text, AHEAD) | F.contains(text, F.lit("dauer")))
     return F.when(some, first(_LIST, listed, in_months)).otherwise(pair(nothing, nothing))
 
 
@@ -89,7 +89,7 @@ _DATE = r"(?:\d{1,2}\.\d{1,2}\.\d{4}|(?:ende|fin|fine) \d{4}|[a-z]+ \d{4})"
 def _dated_starts(text: Column, cue: str) -> Column:
     """What stands from each wording of a start on, WINDOW characters of it, where a date follows within BETWEEN words."""
     initials = "".join(sorted({x.lstrip("(?:")[0] for x in cue.split("|")}))
-    windows = F.regexp_extract_all(text, F.lit(rf"\b(?=[{initials}])(?=(.{{1,{WINDOW}}}))(?:{cue})\b"), F.lit(1))
+    windows = F.regexp_extract_all(text, F.lit(rf"\b(?=[{initials}])(?=(?:{cue})\b)(?=(.{{1,{WINDOW}}}))(?:{cue})\b"), F.lit(1))
     near = rf"^(?:{cue})(?: \d{{4}}\b|\b(?:[^a-z]*[a-z]+){{0,{BETWEEN}}}[^a-z]*\b{_DATE}\b)"
     return F.filter(windows, lambda w: w.rlike(near))
 

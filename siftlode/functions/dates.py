@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siftlode.functions.text import fold, let
+from siftlode.functions.text import fold, full, let, lookup
 
 # Folded month names by month.
 MONTHS = {
@@ -40,7 +40,7 @@ YEAR_AHEAD = (
     r"(?:one|1)\s+year\s+in\s+advance",
 )
 # Words that pages glue together.
-_GLUED = r"(?<=dauer)(?=ab)|(?<=monat|monate|monaten)(?=programmleitung|voraussetzungen|kontakt|stellen)"
+_GLUED = r"(dauer)(?=ab)|(monat|monate|monaten)(?=programmleitung|voraussetzungen|kontakt|stellen)"
 
 
 def any_of(words) -> str:
@@ -49,14 +49,19 @@ def any_of(words) -> str:
 
 
 def says(text: Column, words) -> Column:
-    return text.rlike(rf"\b{any_of(words)}\b")
+    """Whether one of the wordings stands in the text, as words."""
+    return text.rlike(rf"\b(?=[{''.join(sorted({w[0] for w in words}))}]){any_of(words)}\b")
 
 
 def date_text(phrase: Column) -> Column:
     """Folded, with a blank between letters and digits and within glued words, single blanks, trimmed."""
-    text = F.regexp_replace(fold(phrase), "\u2019", "'")
-    text = F.regexp_replace(text, r"(?<=\d)[-\u2013]?(?=[a-z])|(?<=[a-z])(?=\d)", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, _GLUED, " "), r"\s+", " "))
+
+    def parted(text: Column) -> Column:
+        text = F.regexp_replace(F.regexp_replace(text, r"(\d)[-\u2013]?(?=[a-z])", "$1 "), r"([a-z])(?=\d)", "$1 ")
+        text = F.regexp_replace(text, _GLUED, "$1$2 ")
+        return F.trim(F.regexp_replace(text, r"\s{2,}|[^\S ]", " "))
+
+    return parted(F.replace(fold(phrase), F.lit("\u2019"), F.lit("'")))
 
 
 def month_index(date: Column) -> Column:
@@ -94,19 +99,20 @@ def months_observed(checked: Column, available_from: Column, booked_until: Colum
 #: Date, year end, or month with its year, in text that went through ``date_text``.
 DAY, YEAR_END = r"\b\d{1,2}\.\d{1,2}\.\d{4}\b", r"\b(?:ende|fin|fine) (\d{4})\b"
 _NAMES = sorted((n for group in MONTHS.values() for n in group), key=len, reverse=True)
-NAMED = rf"\b(?:{'|'.join(_NAMES)}) \d{{4}}\b"
+_NUMBER = {n: f"{m:02d}" for m, group in MONTHS.items() for n in group}
+# a look ahead for the year saves trying all names at each word
+NAMED = rf"\b(?=[a-z]{{3,9}} \d)(?:{'|'.join(_NAMES)}) \d{{4}}\b"
 
 
 def month_of(text: Column, language: Column | None = None) -> Column:
     """``parse_month`` of a text that went through ``date_text``."""
-    number = F.create_map(*(F.lit(x) for m, group in MONTHS.items() for n in group for x in (n, f"{m:02d}")))
     date = let(F.regexp_extract(text, DAY, 0), lambda d: F.when(d != "", F.date_format(F.try_to_date(d, "d.M.yyyy"), "yyyy-MM-dd")))
-    year_end = F.concat(F.nullif(F.regexp_extract(text, YEAR_END, 1), F.lit("")), F.lit("-12"))
+    year_end = F.concat(full(F.regexp_extract(text, YEAR_END, 1)), F.lit("-12"))
 
     def named(found: Column) -> Column:
         name = F.substring_index(found, " ", 1)
         known = found != "" if language is None else (found != "") & ~(F.coalesce(language == "de", F.lit(False)) & name.isin("mars", "mai"))
-        return F.when(known, F.concat_ws("-", F.substring_index(found, " ", -1), F.try_element_at(number, name)))
+        return F.when(known, F.concat_ws("-", F.substring_index(found, " ", -1), lookup(_NUMBER, name)))
 
     said = F.coalesce(date, year_end, let(F.regexp_extract(text, NAMED, 0), named))
     return F.when(text.rlike(r"\d{4}") & ~says(text, (*DEADLINE, *ARRANGED)), said)
@@ -127,7 +133,7 @@ _LEADING = r"\b(?:voraus|vorher|vorlauf|vor|avance|avant|anticipo|prima|advance)
 def lead_of(text: Column) -> Column:
     """``lead_months`` of a text that went through ``date_text``."""
     patterns = [rf"\b(\d{{1,2}})\s+{AHEAD[0]}\b", rf"\b{BEFORE_START}\b", *(rf"\b(\d{{1,2}})\s+{p}\b" for p in AHEAD[1:])]
-    numbers = [F.nullif(F.regexp_extract(text, p, 1).try_cast("int"), F.lit(0)) for p in patterns]
+    numbers = [let(full(F.regexp_extract(text, p, 1)).cast("int"), lambda n: F.when(n > 0, n)) for p in patterns]
     return F.when(text.rlike(_LEADING), F.coalesce(*numbers, F.when(text.rlike(rf"\b(?:{'|'.join(YEAR_AHEAD)})\b"), F.lit(12))))
 
 

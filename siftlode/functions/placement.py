@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siftlode.functions import lexicon as lex
 from siftlode.functions.dates import date_text, says, text_month_index
-from siftlode.functions.text import fold, let, slug, squeeze, title_case
+from siftlode.functions.text import fold, let, lookup, slug, squeeze, title_case, words_of
 
 # Wordings of a full house that a record's own text may have.
 BOOKED_IN_TEXT = ("ausgebucht", "keine freien platze", "keine freien stellen", "complet", "aucune place disponible", "occupato", "nessun posto disponibile", "fully booked")
@@ -18,22 +16,17 @@ ROLE_TYPES = (("Unterassistenz", r"\bunterassist"), ("Wahlstudienjahr", r"\bwahl
 ROLE_WORDS = r"(?i)\b(unterassistenz|unterassistent(?:in)?|wahlstudienjahr|praktisches\s+jahr|pj|famulatur|sous-assistant(?:e)?|stage|tirocinio|clinical placement|elective)\b"
 
 
-def lookup(table: dict[str, str], key: Column) -> Column:
-    """The entry of a small fixed table, null without one."""
-    return F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), key)
-
-
 def has_any(folded: Column, words) -> Column:
-    return reduce(lambda a, b: a | b, (F.contains(folded, F.lit(w)) for w in words))
+    return F.exists(words_of(words), lambda w: F.contains(folded, w))
 
 
 def counted(folded: Column, words) -> Column:
-    return sum((F.contains(folded, F.lit(w)).cast("int") for w in words), F.lit(0))
+    return F.size(F.filter(words_of(words), lambda w: F.contains(folded, w)))
 
 
 def language_words(language: str) -> list[str]:
     """The folded words that speak for a language; a word that stands twice counts twice."""
-    names = [_folded(n) for by in lex.DEPARTMENTS.values() for n in by[language]]
+    names = [folded_name(n) for by in lex.DEPARTMENTS.values() for n in by[language]]
     return [*lex.ROLES[language], *lex.APPLICATIONS[language], *lex.AVAILABLE[language], *lex.UNAVAILABLE[language], *names]
 
 
@@ -48,7 +41,7 @@ def detected_language(text: Column) -> Column:
     return let(fold(text), folded_language)
 
 
-def _folded(name: str) -> str:
+def folded_name(name: str) -> str:
     import unicodedata
 
     return "".join(c for c in unicodedata.normalize("NFD", name) if not unicodedata.combining(c)).lower()
@@ -56,7 +49,7 @@ def _folded(name: str) -> str:
 
 def department_key(name: Column) -> Column:
     """The normalised department of an exact alias, else a slug; null for null or empty names."""
-    aliases = {_folded(n): key for key, by in reversed(lex.DEPARTMENTS.items()) for names in by.values() for n in names}
+    aliases = {folded_name(n): key for key, by in reversed(lex.DEPARTMENTS.items()) for names in by.values() for n in names}
     folded = fold(name)
     return F.when(name != "", F.coalesce(lookup(aliases, folded), slug(name)))
 
@@ -174,11 +167,3 @@ def lead_time_key(source: Column, institution: Column, department: Column, role:
 
 def hashed_id(kind: str, *parts: Column, length: int = 12) -> Column:
     return F.concat(F.lit(f"{kind}-"), F.substring(F.sha2(F.concat_ws("|", *(F.coalesce(p.cast("string"), F.lit("")) for p in parts)), 256), 1, length))
-
-
-def canonical_json(fields: dict[str, Column]) -> Column:
-    """JSON of the fields in the order of their names, nulls written, for hashes that do not depend on the order of columns.
-
-    Names sort without regard to case.
-    """
-    return F.to_json(F.struct(*(c.alias(n) for n, c in sorted(fields.items(), key=lambda f: (f[0].lower(), f[0].swapcase())))), {"ignoreNullFields": "false"})

@@ -33,6 +33,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def full(text: Column) -> Column:
+    """The text, null if it is empty; reckoned once."""
+    return let(text, lambda x: F.when(x != "", x))
+
+
+def words_of(words) -> Column:
+    """An array of fixed words; one literal, however many they are."""
+    return F.split(F.lit("\n".join(words)), "\n")
+
+
+def lookup(table: dict[str, str], key: Column) -> Column:
+    """The entry of a small fixed table, null without one."""
+    return F.try_element_at(F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in table.items())), F.lit("\n"), F.lit("\t")), key)
+
+
 #: The edge of a word of ASCII letters, digits and underscores; other letters are no part of words.
 EDGE = r"(?:(?<!\w)(?=\w)|(?<=\w)(?!\w))"
 

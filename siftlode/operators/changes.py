@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siftlode.functions.canonical import canonical_json
+from siftlode.functions.text import lookup
 
 
 def record_changes(before: DataFrame, after: DataFrame, key: str, watched: list[str], volatile: list[str]) -> DataFrame:
@@ -45,27 +49,76 @@ def told_availability(status: Column, start: Column, until: Column) -> Column:
     return F.when(date.isNotNull(), F.concat(status, F.lit(" ("), date, F.lit(")"))).otherwise(status)
 
 
+#: What all changes have; ``before`` and ``after`` are canonical JSON, null where a side is missing.
+COLUMNS = ("change_id", "source_id", "url", "detected_at", "change_type", "severity", "before", "after", "message")
+
+
+def with_ids(changes: DataFrame) -> DataFrame:
+    """Changes with ``change_id``, the start of a hash of all that they say."""
+    raw = lambda c: F.coalesce(F.col(c), F.lit("null"))
+    told = lambda c: canonical_json(F.col(c), T.StringType())
+    parts = {"after": raw("after"), "before": raw("before"), "changeType": told("change_type"), "detectedAt": told("detected_at"), "message": told("message"), "severity": told("severity"), "sourceId": told("source_id"), "url": told("url")}
+    identity = F.concat(F.lit("{"), F.concat_ws(",", *(F.concat(F.lit(f'"{n}":'), c) for n, c in parts.items())), F.lit("}"))
+    return changes.withColumn("change_id", F.concat(F.lit("change-"), F.substring(F.sha2(identity, 256), 1, 16)))
+
+
 def described(before: DataFrame, after: DataFrame, volatile: list[str] = ("checked", "modified")) -> DataFrame:
-    """The changes of records ``(id, source_id, url, institution, department, role_type, status, available_from, booked_until, ...)`` with
-    ``change_id`` (a hash of what changed), ``message``, and both sides as JSON."""
+    """The changes of records ``(id, source_id, url, institution, department, role_type, status, available_from, booked_until, ...)``: ``id`` and COLUMNS.
+
+    A change is detected when its record was ``checked``, where records say so; the department's key stands for a department without a name.
+    """
     found = record_changes(before, after, "id", ["status", "available_from", "booked_until"], [c for c in volatile if c in before.columns])
-    side = lambda df, name: df.select("id", F.struct(*(F.col(c) for c in sorted(df.columns))).alias(name))
+    kind_of = T.StructType(sorted((f for f in before.schema.fields), key=lambda f: f.name))
+    side = lambda df, name: df.select("id", F.struct(*(F.col(f.name) for f in kind_of.fields)).alias(name))
     both = found.join(side(before, "b"), "id", "left").join(side(after, "a"), "id", "left")
+    has = set(before.columns)
     now = F.coalesce("a", "b")
-    named = label(now["institution"], now["department"], now["role_type"])
+    named = label(now["institution"], F.coalesce(now["department"], now["department_normalized"]) if "department_normalized" in has else now["department"], now["role_type"])
     told = lambda x: told_availability(x["status"], x["available_from"], x["booked_until"])
     kind = F.col("change_type")
     moved = F.concat(F.lit("Availability changed for "), named, F.lit(": "), told(F.col("b")), F.lit(" -> "), told(F.col("a")), F.lit("."))
+    # What messages say
     message = (
         F.when(kind == "record-added", F.concat(F.lit("Placement added: "), named, F.lit(".")))
         .when(kind == "record-removed", F.concat(F.lit("Placement removed: "), named, F.lit(".")))
         .when(kind == "availability-changed", moved)
         .otherwise(F.concat(F.lit("Parser output changed for "), named, F.lit(".")))
     )
-    brief = lambda x: F.when(kind == "availability-changed", F.to_json(F.struct(*(x[c].alias(c) for c in ("available_from", "booked_until", "status"))), {"ignoreNullFields": "false"})).otherwise(F.to_json(x, {"ignoreNullFields": "false"}))
-    out = both.select("id", now["source_id"].alias("source_id"), now["url"].alias("url"), "change_type", "severity", brief(F.col("b")).alias("before"), brief(F.col("a")).alias("after"), message.alias("message"))
-    identity = F.to_json(F.struct("after", "before", "change_type", "message", "severity", "source_id", "url"), {"ignoreNullFields": "false"})
-    return out.withColumn("change_id", F.concat(F.lit("change-"), F.substring(F.sha2(identity, 256), 1, 16)))
+    string = T.StringType()
+    brief = T.StructType([T.StructField(n, string) for n in ("availabilityStatus", "availableFrom", "fullyBookedUntil")])
+    short = lambda x: F.struct(x["status"].alias("availabilityStatus"), x["available_from"].alias("availableFrom"), x["booked_until"].alias("fullyBookedUntil"))
+    shown = lambda x: F.when(x.isNotNull(), F.when(kind == "availability-changed", canonical_json(short(x), brief)).otherwise(canonical_json(x, kind_of)))
+    checked = F.date_format(now["checked"], "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") if "checked" in has else F.lit(None).cast("string")
+    out = both.select("id", now["source_id"].alias("source_id"), now["url"].alias("url"), checked.alias("detected_at"), "change_type", "severity", shown(F.col("b")).alias("before"), shown(F.col("a")).alias("after"), message.alias("message"))
+    return with_ids(out).select("id", *COLUMNS)
+
+
+#: What a change keeps of a page, in the order of its JSON.
+PAGE_SIDE = ("error", "rawHash", "sourceId", "statusCode", "textHash", "url")
+
+
+def described_pages(previous: DataFrame, current: DataFrame, detected_at: str, last: str | None = None) -> DataFrame:
+    """The changes of pages ``(sourceId, url, statusCode, rawHash, textHash, error)`` as COLUMNS: new ones, failed ones, and changed texts of those that did not fail.
+
+    Pages that vanished are not reported. Of several previous rows of a page the last by the column ``last`` counts; without one, one of the greatest texts.
+    """
+    key, kept = ["sourceId", "url"], T.StructType(sorted((f for f in current.schema.fields if f.name in PAGE_SIDE), key=lambda f: f.name))
+    side = F.struct(*(F.col(f.name) for f in kept.fields))
+    before = previous.groupBy(*key).agg((F.max_by(side, last) if last else F.max(side)).alias("b"))
+    both = current.withColumn("a", side).join(before, key, "left")
+    a, b = F.col("a"), F.col("b")
+    failed = a["error"].isNotNull() | F.coalesce(a["statusCode"] >= 400, F.lit(False))
+    of = lambda kind, severity, *words: F.struct(F.lit(kind).alias("change_type"), F.lit(severity).alias("severity"), F.concat(*words).alias("message"))
+    why = F.coalesce(a["error"], F.concat(F.lit("HTTP "), a["statusCode"].cast("string")))
+    # What messages say
+    new = of("new-source", "info", F.lit("New page crawled: "), F.col("url"), F.lit("."))
+    error = of("error", "review", F.lit("Page crawl failed for "), F.col("url"), F.lit(": "), why, F.lit("."))
+    changed = of("content-changed", "review", F.lit("Cleaned page text changed for "), F.col("url"), F.lit("."))
+    differs = b.isNotNull() & ~failed & (a["textHash"] != b["textHash"])
+    found = both.select(F.col("sourceId").alias("source_id"), "url", "a", "b", F.inline(F.array_compact(F.array(F.when(b.isNull(), new), F.when(failed, error), F.when(differs, changed)))))
+    json = lambda c: F.when(c.isNotNull(), canonical_json(c, kept))
+    out = found.select("source_id", "url", F.lit(detected_at).alias("detected_at"), "change_type", "severity", json(b).alias("before"), json(a).alias("after"), "message")
+    return with_ids(out).select(*COLUMNS)
 
 
 def merged(*changes: DataFrame) -> DataFrame:
@@ -77,6 +130,10 @@ def merged(*changes: DataFrame) -> DataFrame:
 
 
 def order() -> list[Column]:
-    """The gravest first, then by type and id."""
-    rank = F.coalesce(*(F.when(F.col("severity") == s, F.lit(n)) for s, n in SEVERITY.items()))
-    return [rank.desc(), F.col("change_type").asc(), F.col("change_id").asc()]
+    """The gravest first, then by type and id as a locale sorts them."""
+    return [lookup({k: str(n) for k, n in SEVERITY.items()}, F.col("severity")).desc(), F.collate("change_type", "UNICODE").asc(), F.collate("change_id", "UNICODE").asc()]
+
+
+def all_changes(pages: DataFrame, records: DataFrame) -> DataFrame:
+    """Both kinds of changes, each id once, in order."""
+    return merged(pages.select(*COLUMNS), records.select(*COLUMNS)).orderBy(*order())

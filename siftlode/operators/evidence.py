@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftlode.functions import placement as pl
 from siftlode.functions.dates import months_observed, target_month
+from siftlode.operators import aggregates
 
 #: Observations that make a recommendation.
 ENOUGH = 3
@@ -44,13 +45,22 @@ def summaries(rows: DataFrame, order: str = "record_id") -> DataFrame:
     Of several authoritative rows of a kind the first by ``order`` counts.
     """
     kind = F.col("kind")
-    of = lambda k: F.count_if(kind == k)
-    first = lambda k, c: F.min_by(F.when(kind == k, F.col(c)), F.when(kind == k, F.col(order)))
-    seen = F.when(kind == "historical-observed", F.col("months"))
-    out = rows.groupBy("place").agg(
-        F.min_by("source_id", order).alias("source_id"), F.count("*").alias("evidence"), F.count(seen).alias("observed"),
-        *(of(k).alias(k) for k in KINDS), first("hospital-confirmed", "months").alias("confirmed"), first("explicit-source", "months").alias("stated"),
-        first("explicit-source", "confidence").alias("stated_confidence"), F.floor(F.median(seen) + 0.5).cast("int").alias("median_months"), F.min(seen).alias("least"), F.max(seen).alias("most"),
+    at = F.col(order)
+    first = lambda k, *cs: F.min(F.when(kind == k, F.struct(at.alias("at"), *cs)))
+    rows = rows.withColumn("seen", F.when(kind == "historical-observed", F.col("months")))
+    # counts by place and months first: a place with many rows is spread over its months, and what is left of it is small
+    counted = rows.groupBy("place", "seen").agg(
+        F.min(F.struct(at.alias("at"), "source_id")).alias("source"), F.count("*").alias("n"), *(F.count_if(kind == k).alias(k) for k in KINDS),
+        first("hospital-confirmed", "months").alias("confirmed"), first("explicit-source", "months", "confidence").alias("stated"),
+    )
+    pairs = F.collect_list(F.when(F.col("seen").isNotNull(), F.struct(F.col("seen").alias("value"), "n")))
+    merged = counted.groupBy("place").agg(
+        F.min("source").alias("source"), F.sum("n").alias("evidence"), F.coalesce(F.sum(F.when(F.col("seen").isNotNull(), F.col("n"))), F.lit(0)).alias("observed"), *(F.sum(f"`{k}`").alias(k) for k in KINDS),
+        F.min("confirmed").alias("confirmed"), F.min("stated").alias("stated"), pairs.alias("pairs"), F.min("seen").alias("least"), F.max("seen").alias("most"),
+    )
+    out = merged.select(
+        "place", F.col("source.source_id").alias("source_id"), "evidence", "observed", *(f"`{k}`" for k in KINDS), F.col("confirmed.months").alias("confirmed"), F.col("stated.months").alias("stated"),
+        F.col("stated.confidence").alias("stated_confidence"), aggregates.rounded(aggregates.counted_median(F.col("pairs"))).cast("int").alias("median_months"), "least", "most",
     )
     n = {k: F.col(f"`{k}`") > 0 for k in KINDS}
     enough = F.col("observed") >= ENOUGH
@@ -112,7 +122,10 @@ def reliability(records: DataFrame, reviews: DataFrame, reports: DataFrame) -> D
         F.coalesce(F.bool_or((F.col("role") == "administrator") & (F.col("verdict") == "correct")), F.lit(False)).alias("confirmed"),
     )
     usable = F.when(F.col("displayable") & (F.col("months_ahead") >= 0) & (F.col("kind") != "estimate"), F.col("months_ahead"))
-    told = reports.groupBy(F.col("record_id").alias("id")).agg(F.count("*").alias("reports"), F.count(usable).alias("usable"), F.median(usable).alias("m"), F.min(usable).alias("lo"), F.max(usable).alias("hi"))
+    counted = reports.groupBy(F.col("record_id").alias("id"), usable.alias("value")).agg(F.count("*").alias("n"))
+    some = F.col("value").isNotNull()
+    told = counted.groupBy("id").agg(F.sum("n").alias("reports"), F.sum(F.when(some, F.col("n"))).alias("usable"), F.collect_list(F.when(some, F.struct("value", "n"))).alias("pairs"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    told = told.withColumn("m", aggregates.counted_median(F.col("pairs"))).drop("pairs")
     both = records.select("id").join(seen, "id", "left").join(told, "id", "left")
     n = {c: F.coalesce(c, F.lit(0)) for c in ("reviews", "positive", "negative", "reports", "usable")}
     conflicting = F.when((n["positive"] > 0) & (n["negative"] > 0), n["positive"] + n["negative"]).otherwise(0)
@@ -126,3 +139,8 @@ def reliability(records: DataFrame, reviews: DataFrame, reports: DataFrame) -> D
         "id", n["reviews"].alias("reviews"), "latest", n["positive"].alias("positive"), n["negative"].alias("negative"), conflicting.cast("long").alias("conflicting"), n["reports"].alias("reports"),
         F.when(enough, F.col("m")).alias("median_months"), F.when(enough, F.col("lo")).alias("least"), F.when(enough, F.col("hi")).alias("most"), label.alias("label"), few.alias("warnings"),
     )
+
+
+def in_order(summaries: DataFrame) -> DataFrame:
+    """Summaries by their ids, as a locale sorts them."""
+    return summaries.orderBy(F.collate("id", "UNICODE"))

@@ -30,3 +30,22 @@ def limit_unique(df: DataFrame, key: str, position: str, limit: int) -> DataFram
     kept = marked.filter("__nth = 1").orderBy(position).limit(limit).agg(F.max(position).alias("__last"))
     status = F.when(F.col("__nth") > 1, "duplicate").when(F.col(position) <= F.col("__last"), "kept").otherwise("beyond-limit")
     return marked.join(F.broadcast(kept), F.lit(True)).withColumn("status", status).drop("__nth", "__last")
+
+
+def locale(column: str) -> Column:
+    """A sort key by which texts, null as the empty one, go as a locale sorts them: letters before accents, accents before case, lower case first."""
+    return F.collate(F.coalesce(F.col(column), F.lit("")), "UNICODE")
+
+
+def places(df: DataFrame, groups: Sequence[str], within: Sequence[Column | str], name: str = "place") -> DataFrame:
+    """The row's place, from 1 on, in the order of the groups' columns as a locale sorts them, and within a group in that of others.
+
+    Only the groups' sizes are summed over all; rows are numbered within their groups.
+    """
+    keys = [F.coalesce(F.col(g), F.lit("")).alias(f"__{g}") for g in groups]
+    rows = df.select("*", *keys)
+    named = [f"__{g}" for g in groups]
+    sizes = rows.groupBy(*named).agg(F.count("*").alias("__n"))
+    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy(*(F.collate(F.col(c), "UNICODE") for c in named), *named)) - F.col("__n"))
+    nth = F.row_number().over(Window.partitionBy(*named).orderBy(*within))
+    return rows.join(before, named).withColumn(name, (F.col("__before") + nth).cast("long")).drop(*named, "__n", "__before")

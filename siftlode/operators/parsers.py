@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from siftlode.functions import lexicon as lex
 from siftlode.functions import placement as pl
 from siftlode.functions.availability import EXPLICIT, availability, explicit
 from siftlode.functions.dates import date_text
-from siftlode.functions.text import ascii_words, fold, let, sentences, squeeze
+from siftlode.functions.text import ascii_words, fold, full, let, lookup, sentences, squeeze, words_of
 
 SNIPPET = 700
 # Wordings of training, of other jobs, and of what makes a sentence speak of a department's places.
@@ -147,12 +148,12 @@ def _place(array: Column, test) -> Column:
 
 
 def _section(department: Column, text: Column) -> Column:
-    return F.struct(department.cast("string").alias("department"), pl.department_key(department).alias("normalized"), text.alias("text"))
+    return F.struct(department.cast("string").alias("department"), F.lit(None).cast("string").alias("normalized"), text.alias("text"))
 
 
 def _extract(text: Column, pattern: str, group: int = 0, case: bool = False) -> Column:
     """The squeezed part of the pattern's first place, null without one."""
-    return F.nullif(squeeze(F.regexp_extract(text, pattern if case else ascii_words(pattern), group)), F.lit(""))
+    return full(squeeze(F.regexp_extract(text, pattern if case else ascii_words(pattern), group)))
 
 
 def _role(roles, other: str) -> Column:
@@ -164,11 +165,11 @@ def _role(roles, other: str) -> Column:
 
 
 def _joined(parts: Sequence[Column], by: str) -> Column:
-    return F.nullif(F.concat_ws(by, *parts), F.lit(""))
+    return full(F.concat_ws(by, *parts))
 
 
 def _all_joined(text: Column, pattern: str) -> Column:
-    return F.nullif(F.array_join(F.transform(F.regexp_extract_all(text, F.lit(ascii_words(pattern)), F.lit(0)), squeeze), " "), F.lit(""))
+    return full(F.array_join(F.transform(F.regexp_extract_all(text, F.lit(ascii_words(pattern)), F.lit(0)), squeeze), " "))
 
 
 #: What the rules of a parser say of a section, beside its department, with the types of the result.
@@ -184,7 +185,7 @@ FIELDS = {
 class RuleSet:
     """A parser as column expressions, each made when a plan is.
 
-    matches reads a page; sections gives its ``section`` structs (department, normalized, text) and may read ``text``, ``parts`` (sentences), ``folded`` and
+    matches reads a page; sections gives its ``section`` structs (department, normalized, text; without ``normalized`` the department's key counts) and may read ``text``, ``parts`` (sentences), ``folded`` and
     ``language`` besides; phrase is what is read for availability, and its language or None; fields reads a section, what the phrase ``said``, and names
     FIELDS, others are null. nothing is the page's warnings where no record is found, review those where some are, by their numbers ``records``, ``high``, ``medium``
     and ``low``; so is confidence.
@@ -244,7 +245,7 @@ def profile_sections(profile: Profile) -> Column:
 
 
 def pl_lookup(table: dict[str, tuple[str, ...]], key: Column) -> Column:
-    return F.coalesce(*(F.when(key == name, F.array(*map(F.lit, words))) for name, words in table.items()))
+    return F.coalesce(*(F.when(key == name, words_of(words)) for name, words in table.items()))
 
 
 def _link_text(link: Column) -> Column:
@@ -281,13 +282,13 @@ def _department_said(profile: Profile) -> dict[str, Column]:
     b2 = _extract(text, r"\bDeutsch\s+auf\s+mindestens\s+B2-Niveau\b")
     if profile.by_heading:
         # Wordings of this hospital
-        part = F.coalesce(F.nullif(F.regexp_extract(text, r"(?iu)Profil\s*(.+?)(?:Die Ausbildung|Dauer:|Monatslohn:|Noch Fragen\?|$)", 1), F.lit("")), text)
+        part = F.coalesce(full(F.regexp_extract(text, r"(?iu)Profil\s*(.+?)(?:Die Ausbildung|Dauer:|Monatslohn:|Noch Fragen\?|$)", 1)), text)
         may = r"Du\s+(?:machst aktuell ein Medizinstudium|sprichst Deutsch auf mindestens B2-Niveau|hast einen Pass eines EU-/EFTA-Staats)[.]"
         return {
             "contact": _extract(text, r"Fragen zum Bewerbungsablauf\s*(\p{Lu}[\p{L}' -]+?)(?=\+41|Hinweis|$)", 1, True), "eligibility": _all_joined(part, may), "language_requirement": b2,
             "compensation": _extract(text, rf"\b{_MONEY}(?=[^\d'’.,-]|$)"), "housing": F.when(_has(text, "Wohnen auf dem Gesundheitscampus|Wohnung auf dem KSB-Areal"), "yes"),
         }
-    own = _joined([F.nullif(F.regexp_extract(text, ascii_words(p), 0), F.lit("")) for p in profile.eligibility], profile.joined) if profile.eligibility else F.lit(None)
+    own = _joined([full(F.regexp_extract(text, ascii_words(p), 0)) for p in profile.eligibility], profile.joined) if profile.eligibility else F.lit(None)
     return {
         "contact": contact_name(text), "eligibility": F.coalesce(own, _all_joined(text, ELIGIBLE)), "language_requirement": F.coalesce(_extract(text, r"\bDeutschkenntnisse\s+B2\b"), b2),
         "compensation": _extract(text, rf"\b(?:Gehalt|Monatslohn|Lohn)[^C]{{0,120}}({_MONEY})(?=[^\d'’.,-]|$)", 1),
@@ -343,7 +344,7 @@ def hospital(profile: Profile) -> RuleSet:
 
 
 def _by_language(table: dict) -> Column:
-    return F.coalesce(*(F.when(F.col("language") == name, F.array(*map(F.lit, dict.fromkeys(table[name])))) for name in lex.LANGUAGES))
+    return F.coalesce(*(F.when(F.col("language") == name, words_of(dict.fromkeys(table[name]))) for name in lex.LANGUAGES))
 
 
 def _holds(where: Column, words: Column) -> Column:
@@ -361,13 +362,13 @@ def generic_sections() -> Column:
     """The departments that a title or a sentence about places names, or a section without any; none for other jobs and pages without a sign of places."""
     text, folded = F.col("text"), F.col("folded")
     title = fold(F.coalesce("title", F.lit("")))
-    name_of = lambda names, t: F.get(F.filter(F.array(*map(F.lit, names)), lambda n: F.contains(t, fold(n)) | F.contains(folded, fold(n))), F.lit(0))
+    name_of = lambda names, t: _first(words_of(names), lambda n: let(fold(n), lambda x: F.contains(t, x) | F.contains(folded, x)))
 
     def found(title: Column, about: Column) -> Column:
         out = []
         for key, by in lex.DEPARTMENTS.items():
             names = [n for language_names in by.values() for n in language_names]
-            pattern = ascii_words(r"\b(?:" + "|".join(dict.fromkeys(pl._folded(n) for n in names)) + r")\b")
+            pattern = ascii_words(r"\b(?:" + "|".join(dict.fromkeys(pl.folded_name(n) for n in names)) + r")\b")
             told = title.rlike(pattern) | F.exists(about, _matches(pattern))
             section = F.struct(F.coalesce(name_of(names, title), F.lit(names[0])).alias("department"), F.lit(key).alias("normalized"), text.alias("text"))
             out.append(F.when(told, section))
@@ -419,7 +420,7 @@ def _generic_fields() -> dict[str, Column]:
         "booked_until": said["booked_until"], "min_weeks": said["min_weeks"], "max_weeks": said["max_weeks"], "lead_months": said["lead_months"], "email": email,
         "language_requirement": _extract(snippet, r"\b(?:deutschkenntnisse|deutsch|franzosisch|français|italiano)\s*[A-C][12]\b"), "compensation": _extract(snippet, rf"\b{_MONEY}\b"), "snippet": snippet,
         "review_status": F.lit("needs-human-review"), "record_language": language, "record_source_language": source_language,
-        "record_region": F.coalesce("page_region", F.coalesce(pl.lookup(REGIONS, source_language), F.lit("unknown"))), "extraction_language": language, "extraction_method": F.lit("generic-parser"),
+        "record_region": F.coalesce("page_region", F.coalesce(lookup(REGIONS, source_language), F.lit("unknown"))), "extraction_language": language, "extraction_method": F.lit("generic-parser"),
     }
 
 
@@ -467,12 +468,9 @@ def _prepared(pages: DataFrame, parsers: Sequence[RuleSet]) -> DataFrame:
     return _settled(rows, skipped=F.when(F.col("parser") == "generic", _skipped()))
 
 
-def parse(pages: DataFrame, parsers: Sequence[RuleSet] = PARSERS) -> DataFrame:
-    """A row per record: the page's columns, ``parser`` and the record's fields. Pages without a record have none here; see ``page_results``."""
-    rows = _prepared(pages, parsers)
-    rows = rows.withColumn("section", F.explode(_case(parsers, lambda p: p.sections())))
-    rows = _settled(rows, phrase=_case(parsers, lambda p: p.phrase()[0]), hint=_case(parsers, lambda p: F.lit(None).cast("string") if p.phrase()[1] is None else p.phrase()[1]))
-    rows = _settled(rows, said=availability(F.col("phrase"), F.col("hint")))
+@lru_cache(maxsize=8)
+def _columns(parsers: tuple[RuleSet, ...]) -> dict[str, Column]:
+    """What the parsers say, by the page's parser; made once for a list of parsers, as there are thousands of expressions."""
 
     def record(p: RuleSet) -> Column:
         fields = p.fields()
@@ -481,24 +479,42 @@ def parse(pages: DataFrame, parsers: Sequence[RuleSet] = PARSERS) -> DataFrame:
         one = lambda t: F.struct(*((t[n] if n in grouped else fields.get(n, F.lit(None))).cast(kind).alias(n) for n, kind in FIELDS.items()))
         return one(None) if told is None else let(told, one)
 
-    rows = _settled(rows, record=_case(parsers, record))
+    def phrase(p: RuleSet) -> Column:
+        text, language = p.phrase()
+        return F.struct(text.alias("text"), (F.lit(None).cast("string") if language is None else language).alias("hint"))
+
+    return {
+        "sections": _case(parsers, lambda p: p.sections()), "phrase": _case(parsers, phrase), "said": availability(F.col("phrase"), F.col("hint")), "record": _case(parsers, record),
+        "normalized": F.coalesce("section.normalized", pl.department_key(F.col("section.department"))), "nothing": _case(parsers, lambda p: p.nothing()),
+        "review": _case(parsers, lambda p: p.review()), "confidence": _case(parsers, lambda p: p.confidence()),
+    }
+
+
+def parse(pages: DataFrame, parsers: Sequence[RuleSet] = PARSERS) -> DataFrame:
+    """A row per record: the page's columns, ``parser``, ``nth`` (the record's place in its page) and the record's fields. Pages without a record have none here; see ``page_results``."""
+    made = _columns(tuple(parsers))
+    rows = _prepared(pages, parsers).select("*", F.posexplode(made["sections"]).alias("nth", "section"))
+    rows = _settled(rows, read=made["phrase"]).withColumns({"phrase": F.col("read.text"), "hint": F.col("read.hint")})
+    rows = _settled(rows, said=made["said"])
+    rows = _settled(rows, record=made["record"], normalized=made["normalized"])
     r = {n: F.col(f"record.{n}") for n in FIELDS}
-    department, normalized = F.col("section.department"), F.col("section.normalized")
+    department, normalized = F.col("section.department"), F.col("normalized")
     return rows.select(
-        "page.*", "parser", pl.placement_id(r["institution"], F.coalesce(normalized, department), r["role_type"], F.col("source_id"), F.col("url")).alias("placement_id"),
+        "page.*", "parser", "nth", pl.placement_id(r["institution"], F.coalesce(normalized, department), r["role_type"], F.col("source_id"), F.col("url")).alias("placement_id"),
         department.alias("department"), normalized.alias("department_normalized"), pl.original_role(F.col("text")).alias("role_original"), *(c.alias(n) for n, c in r.items()),
     )
 
 
 def page_results(pages: DataFrame, records: DataFrame, key: str = "url", parsers: Sequence[RuleSet] = PARSERS) -> DataFrame:
     """``(key, parser, records, confidence, warnings)`` per page, pages without any of the parsed records included. Warnings are those of the page's parser."""
+    made = _columns(tuple(parsers))
     number = lambda c: F.count_if(F.col("confidence") == c).alias(c)
     counts = records.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("records"), *map(number, ("high", "medium", "low")))
     rows = _prepared(pages, parsers).withColumn("__key", F.col(f"page.{key}"))
     both = rows.join(counts, "__key", "left").fillna(0, ["records", "high", "medium", "low"])
     none = F.col("records") == 0
-    own = _case(parsers, lambda p: F.when(none, p.nothing()).otherwise(p.review()))
+    own = F.when(none, made["nothing"]).otherwise(made["review"])
     silent = _texts(F.concat(F.lit("Parser "), F.col("parser"), _of_page(" returned no placement records for ", "; human review is needed.")))
     told = let(own, lambda said: F.when(none & (F.size(said) == 0), silent).otherwise(said))
-    confidence = F.when(none, "low").otherwise(_case(parsers, lambda p: p.confidence()))
+    confidence = F.when(none, "low").otherwise(made["confidence"])
     return both.select(F.col("__key").alias(key), "parser", "records", confidence.alias("confidence"), told.alias("warnings"))

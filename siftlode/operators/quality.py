@@ -139,8 +139,12 @@ def phase_checks(report: DataFrame) -> DataFrame:
     return report.select(F.inline(F.array(*(F.struct(F.lit(p).alias("phase"), s.alias("status")) for p, s in checks.items()))))
 
 
+#: Ids and sources that a message of the gate names.
+NAMED_AT_MOST = 20
+
+
 def gate(records: DataFrame, sources: DataFrame, crawl: DataFrame, previous: DataFrame | None, now: Column, failure_rate: float = FAILURE_RATE, drop_rate: float = DROP_RATE) -> DataFrame:
-    """One row: the fifteen metrics, ``errors``, ``warnings`` (joined by line feeds) and ``passed``.
+    """One row: the fifteen metrics, ``errors``, ``warnings`` (joined by line feeds), their numbers ``n_errors`` and ``n_warnings``, and ``passed``.
 
     crawl: one row ``(urls, failures)``. Without ``previous`` records, or with none in it, there is no drop rate. Limits must be shares.
     """
@@ -159,13 +163,14 @@ def gate(records: DataFrame, sources: DataFrame, crawl: DataFrame, previous: Dat
     )
     known = sources.select(F.col("id").alias("source_id"))
     doubled = records.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
-    # ids and names of sources in the messages are those of broken records, few in a table that nearly passes
-    one_line = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ", ")
+    # a message names so many at most, the first ones, and says how many there are besides; ``gate_details`` has them all
+    first_few = lambda c: F.array_join(F.slice(F.array_sort(F.collect_list(c)), 1, NAMED_AT_MOST), ", ")
+    orphans = records.join(known, "source_id", "left_anti").groupBy("source_id").agg(F.count("*").alias("n"))
     parts = [
         main,
         sources.agg(F.count("*").alias("sources")),
-        doubled.agg(F.count("*").alias("duplicate_ids"), one_line("id").alias("duplicates")),
-        records.join(known, "source_id", "left_anti").agg(F.count("*").alias("orphans"), one_line("source_id").alias("unknown_sources")),
+        doubled.agg(F.count("*").alias("duplicate_ids")), doubled.orderBy("id").limit(NAMED_AT_MOST).agg(first_few("id").alias("duplicates")),
+        orphans.agg(F.sum("n").alias("orphans"), F.count("*").alias("orphan_sources")), orphans.orderBy("source_id").limit(NAMED_AT_MOST).agg(first_few("source_id").alias("unknown_sources")),
         known.join(records.select("source_id"), "source_id", "left_anti").agg(F.count("*").alias("without_records")),
         crawl.select(F.col("urls").alias("urls"), F.col("failures").alias("crawl_failures")),
         (previous if previous is not None else records.limit(0)).agg(F.count("*").alias("previous")),
@@ -176,17 +181,19 @@ def gate(records: DataFrame, sources: DataFrame, crawl: DataFrame, previous: Dat
     if previous is None:
         row = row.withColumn("previous", F.lit(None).cast("long"))
     row = row.withColumns({
+        "orphans": F.coalesce("orphans", F.lit(0)),
         "crawl_failure_rate": F.coalesce(F.try_divide("crawl_failures", "urls"), F.lit(0.0)),
         "drop_rate": F.when(_c("previous") > 0, F.greatest(F.lit(0.0), (_c("previous") - _c("placements")) / _c("previous"))),
     })
     said = lambda when, *words: F.when(when, F.concat(*(F.lit(w) if isinstance(w, str) else w.cast("string") for w in words)))
     percent = lambda c: F.format_string("%.1f", c.cast("double") * 100)
+    beyond = lambda c: F.when(_c(c) > NAMED_AT_MOST, F.concat(F.lit(" and "), (_c(c) - NAMED_AT_MOST).cast("string"), F.lit(" more"))).otherwise("")
     errors = [
         said(_c("placements") == 0, "No placement records were generated."),
         said(_c("crawl_failure_rate") > failure_rate, "Crawl failure rate ", percent(_c("crawl_failure_rate")), f"% exceeds the configured {failure_rate * 100:.1f}% limit."),
         said(_c("drop_rate") > drop_rate, "Placement count dropped ", percent(_c("drop_rate")), "% from ", _c("previous"), " to ", _c("placements"), f", above the configured {drop_rate * 100:.1f}% limit."),
-        said(_c("duplicate_ids") > 0, "Duplicate placement IDs: ", _c("duplicates"), "."),
-        said(_c("orphans") > 0, "Placements reference unknown source IDs: ", _c("unknown_sources"), "."),
+        said(_c("duplicate_ids") > 0, "Duplicate placement IDs: ", _c("duplicates"), beyond("duplicate_ids"), "."),
+        said(_c("orphans") > 0, "Placements reference unknown source IDs: ", _c("unknown_sources"), beyond("orphan_sources"), "."),
         said(_c("contradictory") > 0, "Contradictory availability fields found on ", _c("contradictory"), " placement records."),
         said(_c("generic_published") > 0, _c("generic_published"), " generic-parser records bypass human review status."),
     ]
@@ -194,8 +201,16 @@ def gate(records: DataFrame, sources: DataFrame, crawl: DataFrame, previous: Dat
         said(_c("past_dates") > 0, _c("past_dates"), " placement records contain an availability date in the past."),
         said(_c("without_records") > 0, _c("without_records"), " registered sources produced no placement records."),
     ]
-    row = row.withColumns({"errors": F.array_join(F.array_compact(F.array(*errors)), "\n"), "warnings": F.array_join(F.array_compact(F.array(*warnings)), "\n")})
-    return row.withColumn("passed", _c("errors") == "").drop("duplicates", "unknown_sources", "urls")
+    texts = {"errors": F.array_compact(F.array(*errors)), "warnings": F.array_compact(F.array(*warnings))}
+    row = row.withColumns(texts).withColumns({"n_errors": F.size("errors"), "n_warnings": F.size("warnings"), **{c: F.array_join(c, "\n") for c in texts}})
+    return row.withColumn("passed", _c("n_errors") == 0).drop("duplicates", "unknown_sources", "orphan_sources", "urls")
+
+
+def gate_details(records: DataFrame, sources: DataFrame) -> DataFrame:
+    """(violation, name, n) of all that the gate's messages speak of: ids that stand more than once, and sources that the registry lacks."""
+    doubled = records.groupBy(F.col("id").cast("string").alias("name")).agg(F.count("*").alias("n")).filter("n > 1")
+    unknown = records.join(sources.select(F.col("id").alias("source_id")), "source_id", "left_anti").groupBy(F.col("source_id").cast("string").alias("name")).agg(F.count("*").alias("n"))
+    return doubled.select(F.lit("duplicate id").alias("violation"), "name", "n").unionByName(unknown.select(F.lit("unknown source").alias("violation"), "name", "n"))
 
 
 MONTH, PARTIAL_DATE = r"^\d{4}-(?:0[1-9]|1[0-2])$", r"^\d{4}-(?:0[1-9]|1[0-2])(?:-\d{2})?$"

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftlode.functions import availability, dates, text
+from siftlode.functions import dates, text
 from siftlode.operators import aggregates, changes, joins, ordering, rules, search
 from siftlode.sources.tables import table
 
@@ -190,11 +190,13 @@ from {_EVIDENCE} group by 1""")
 def lead_time_summary(spark, d):
     """Evidence by source with the precedence of its kinds."""
     number = lambda k: F.count_if(F.col("kind") == k)
-    basis = F.when(number("hospital") > 0, "hospital").when(number("explicit") > 0, "explicit").when(number("observed") >= 3, "observed").otherwise("estimated")
-    return _evidence(spark, d).groupBy("o_custkey").agg(
-        F.count("*").alias("evidence"), number("observed").alias("observed"), basis.alias("basis"),
-        aggregates.rounded_median(F.col("months")).cast("long").alias("median_months"), F.min("months").cast("long").alias("least"), F.max("months").cast("long").alias("most"),
+    counted = _evidence(spark, d).groupBy("o_custkey", "months").agg(F.count("*").alias("n"), *(number(k).alias(k) for k in ("hospital", "explicit", "observed")))
+    basis = F.when(F.sum("hospital") > 0, "hospital").when(F.sum("explicit") > 0, "explicit").when(F.sum("observed") >= 3, "observed").otherwise("estimated")
+    out = counted.groupBy("o_custkey").agg(
+        F.sum("n").alias("evidence"), F.sum("observed").alias("observed"), basis.alias("basis"), F.collect_list(F.struct(F.col("months").alias("value"), "n")).alias("pairs"),
+        F.min("months").cast("long").alias("least"), F.max("months").cast("long").alias("most"),
     )
+    return out.select("o_custkey", "evidence", "observed", "basis", aggregates.rounded(aggregates.counted_median(F.col("pairs"))).cast("long").alias("median_months"), "least", "most")
 
 
 @query("""
@@ -375,43 +377,3 @@ def heading_slices(spark, d):
     """Where the slice that starts at a heading ends."""
     following = F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
     return table(spark, d, "conversations").filter("role = 'user'").select("conv_id", "turn", following.alias("next_turn"))
-
-
-# Phrases made for this catalogue, with what they say.
-_MONTH_PHRASES = {
-    "frei ab 15.03.2027": "2027-03-15", "ab März 2027": "2027-03", "disponible dès août 2026": "2026-08", "from September 2026 on": "2026-09",
-    "disponibile da gennaio 2028": "2028-01", "ausgebucht bis Ende 2026": "2026-12", "Bewerbungsfrist 1.2.2026": None, "am 31.02.2027": None, "nach Vereinbarung": None,
-}
-
-
-@query("select * from (values " + ", ".join(f"('{k}', {repr(v) if v else 'null'})" for k, v in _MONTH_PHRASES.items()) + ") as t(phrase, month)")
-def phrase_month(spark, d):
-    rows = spark.createDataFrame([(p,) for p in _MONTH_PHRASES], "phrase string")
-    return rows.select("phrase", dates.parse_month(F.col("phrase")).alias("month"))
-
-
-_DURATION_PHRASES = {
-    "mindestens 3 Monate": (12, None), "2 bis 5 Wochen": (2, 5), "au moins 8 semaines": (8, None), "2 a 4 mois": (8, 16), "von einem, zwei oder vier Monaten": (4, 16),
-    "ProgrammdauerAb einem MonatProgrammleitungDr.": (4, None), "Programmdauer2-3 Monate": (8, 12), "zwischen zwei und vier Monaten": (8, 16), "three weeks": (3, 3),
-    "Bewerbungen 6 Monate im Voraus": (None, None), "ab August 2027": (None, None), "": (None, None),
-}
-
-
-@query("select * from (values " + ", ".join(f"('{k}', {a or 'null'}, {b or 'null'})" for k, (a, b) in _DURATION_PHRASES.items()) + ") as t(phrase, min_weeks, max_weeks)")
-def phrase_duration(spark, d):
-    rows = spark.createDataFrame([(p,) for p in _DURATION_PHRASES], "phrase string")
-    return rows.select("phrase", availability.duration_weeks(F.col("phrase")).alias("w")).select("phrase", "w.*")
-
-
-_AVAILABILITY_PHRASES = {
-    "ab August 2027": ("available-from", "2027-08", None), "dès le 01.09.2027": ("available-from", "2027-09-01", None), "a partire da ottobre 2027": ("available-from", "2027-10", None),
-    "from March 2028 on": ("available-from", "2028-03", None), "ausgebucht bis Ende 2027": ("fully-booked-until", None, "2027-12"), "fully booked": ("not-specified", None, None),
-    "per sofort": ("available", None, None), "sur demande": ("not-specified", None, None), "Bewerbungen per Post": ("application-only", None, None),
-    "freie Plätze": ("available", None, None), "Kantine": ("not-specified", None, None), "": ("not-specified", None, None),
-}
-
-
-@query("select * from (values " + ", ".join("(" + ", ".join(f"'{x}'" if x is not None else "null" for x in (k, *v)) + ")" for k, v in _AVAILABILITY_PHRASES.items()) + ") as t(phrase, status, available_from, booked_until)")
-def phrase_availability(spark, d):
-    rows = spark.createDataFrame([(p,) for p in _AVAILABILITY_PHRASES], "phrase string")
-    return rows.select("phrase", availability.availability(F.col("phrase")).alias("a")).select("phrase", "a.status", "a.available_from", "a.booked_until")

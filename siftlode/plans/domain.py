@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from siftlode.functions import availability, dates, html, text
 from siftlode.functions import lexicon as lex
 from siftlode.functions import placement as pl
-from siftlode.operators import changes, crawl, evidence, matching, parsers, quality, rules
+from siftlode.operators import changes, crawl, evidence, matching, ordering, parsers, quality, rules
 from siftlode.sources import json_files
 from siftlode.sources.tables import table
 
@@ -229,9 +229,8 @@ def quality_gate(spark, d):
     rows = records(spark, d)
     failures = table(spark, d, "events").agg(F.count("*").alias("urls"), F.count_if(F.col("event_type") == "error").alias("failures"))
     out = quality.gate(rows, sources(spark, d), failures, rows.union(rows.filter("key % 2 = 0")), F.lit("1998-06-01").cast("timestamp"))
-    lines = lambda c: F.when(F.col(c) == "", 0).otherwise(F.size(F.split(c, "\n"))).alias(f"n_{c}")
     metrics = ["sources", "placements", "previous", "crawl_failures", "duplicate_ids", "orphans", "contradictory", "generic_published", "low_confidence", "needing_review", "not_specified", "past_dates", "without_records"]
-    return out.select(*metrics, F.round("drop_rate", 9).alias("drop_rate"), F.round("crawl_failure_rate", 9).alias("crawl_failure_rate"), lines("errors"), lines("warnings"), "passed")
+    return out.select(*metrics, F.round("drop_rate", 9).alias("drop_rate"), F.round("crawl_failure_rate", 9).alias("crawl_failure_rate"), "n_errors", "n_warnings", "passed")
 
 
 @query(f"""with {_R}, v as (select key, 'low confidence has a warning' as rule from r where confidence = 'low' and n_warnings = 0 union all
@@ -452,11 +451,10 @@ def source_coverage(spark, d):
     return sources(spark, d).select(F.inline(F.concat(own, of_url))).groupBy("facet", "key").agg(F.count("*").alias("n"))
 
 
-@query(f"""with {_R} select key, row_number() over (order by institution, coalesce(department, ''), role_type, id, key) as place from r where confidence = 'high' and key % 5 = 0""")
+@query(f"""with {_R} select key, row_number() over (order by lower(institution), lower(coalesce(department, '')), lower(role_type), id, key) as place from r""")
 def record_order(spark, d):
-    """The order in which records are published; only the ranked few are in the window."""
-    order = [F.col("institution"), F.coalesce("department", F.lit("")), F.col("role_type"), F.col("id"), F.col("key")]
-    return records(spark, d).filter("confidence = 'high' and key % 5 = 0").select("key", F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))
+    """The order in which records are published."""
+    return ordering.places(records(spark, d), ["institution", "department", "role_type"], [ordering.locale("id"), "key"]).select("key", "place")
 
 
 _NAMED = {1: "Januar", 2: "février", 3: "März", 4: "aprile", 5: "mai", 6: "juin", 7: "July", 8: "août", 9: "settembre", 10: "Oktober", 11: "novembre", 12: "décembre"}

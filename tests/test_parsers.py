@@ -127,7 +127,7 @@ def test_sections_by_heading(parsed):
     (labour,) = records["https://www.kantonsspitalbaden.ch/l"]
     assert (labour.department, labour.department_normalized, labour.method, labour.confidence) == ("Labor und Geräte", "labor-und-gerate", "external-platform", "medium")
     (nobody,) = records["https://www.kantonsspitalbaden.ch/m"]
-    assert (nobody.department, nobody.confidence) == ("gesucht", "medium")
+    assert (nobody.department, nobody.confidence) == (None, "low")
 
 
 def test_regions_and_source_languages(parsed):
