@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftlode.operators.ordering import limit_unique
+from siftlode.functions.text import lookup
+from siftlode.operators.changes import SEVERITY
+from siftlode.operators.ordering import limit_unique, locale, places
 
 
 def pages(sources: DataFrame) -> DataFrame:
@@ -46,6 +48,28 @@ def source_rows(sources: DataFrame, records: DataFrame, changes: DataFrame) -> D
     return both.select("id", F.coalesce("records", F.lit(0)).alias("records"), "last_checked", F.coalesce("changes", F.lit(0)).alias("changes"))
 
 
+#: Rows of a part of a source's document, at most.
+PART = 10_000
+
+
+def source_documents(sources: DataFrame, records: DataFrame, changes: DataFrame, part: int = PART) -> DataFrame:
+    """Each source with its records and changes in order: ``id``, ``part``, ``records`` and ``changes`` (arrays of structs).
+
+    Records go by institution, department, role and id, changes by gravity, type and id. A source with more than ``part`` rows that follow one another in
+    their order over all sources has several parts, numbered by that order, so that no row grows with the busiest source. A source without either has one empty part.
+    """
+
+    def parts(placed: DataFrame, name: str) -> DataFrame:
+        rows = F.struct("place", *(c for c in placed.columns if c not in ("place", "source_id")))
+        grouped = placed.groupBy(F.col("source_id").alias("id"), F.floor((F.col("place") - 1) / part).alias("part")).agg(F.array_sort(F.collect_list(rows)).alias(name))
+        return grouped
+
+    r = parts(places(records, ["institution", "department", "role_type"], [locale("id"), "id"]), "records")
+    c = parts(places(changes.withColumn("gravity", (9 - lookup({k: str(n) for k, n in SEVERITY.items()}, F.col("severity")).cast("int")).cast("string")), ["gravity", "change_type"], [locale("change_id")]).drop("gravity"), "changes")
+    both = r.join(c, ["id", "part"], "full_outer")
+    return sources.select("id").join(both, "id", "left").select("id", F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("records", F.array()).alias("records"), F.coalesce("changes", F.array()).alias("changes"))
+
+
 def slices(text: str, starts: str, df: DataFrame, key: str) -> DataFrame:
     """The text from each start of a row to its next: rows ``(key, start, slice)`` of ``df(key, text, starts)``."""
     rows = df.select(key, text, F.explode(starts).alias("start"))

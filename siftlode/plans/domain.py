@@ -322,8 +322,8 @@ def lead_time_summaries(spark, d):
 
 
 _REVIEWS = """v as (select user_id, case event_id % 11 when 0 then 'administrator' else 'student' end as role, case event_type when 'purchase' then 'correct' when 'signup' then 'correct' when 'error' then 'wrong' else 'unsure' end as verdict,
-  case when event_id % 5 = 0 then 'no' else 'yes' end as source_ok, case when event_id % 7 = 0 then 'no' end as department_ok, ts from events where event_id % 9 = 0),
-p as (select user_id, cast(floor(value) as int) % 30 - 3 as months, case when event_type = 'view' then 'estimate' else 'own' end as kind, event_id % 4 <> 0 as displayable from events where event_id % 6 = 0)"""
+  case when event_id % 5 = 0 then 'no' else 'yes' end as source_ok, case when event_id % 7 = 0 then 'no' end as department_ok, ts from events where event_type <> 'view'),
+p as (select user_id, cast(floor(value) as int) % 30 - 3 as months, case when event_type = 'view' then 'estimate' else 'own' end as kind, event_id % 4 <> 0 as displayable from events where event_type in ('view', 'click', 'signup'))"""
 
 
 @query(f"""with {_REVIEWS}, a as (select user_id, count(*) as n, count(*) filter (verdict = 'correct' and source_ok = 'yes' and coalesce(department_ok, '') <> 'no') as positive,
@@ -339,11 +339,11 @@ def reviewer_reliability(spark, d):
     events = table(spark, d, "events").withColumn("record_id", F.col("user_id"))
     verdict = F.when(kind.isin("purchase", "signup"), "correct").when(kind == "error", "wrong").otherwise("unsure")
     nothing = F.lit(None).cast("string")
-    reviews = events.filter(n % 9 == 0).select(
+    reviews = events.filter(kind != "view").select(
         "record_id", F.when(n % 11 == 0, "administrator").otherwise("student").alias("role"), verdict.alias("verdict"), F.when(n % 5 == 0, "no").otherwise("yes").alias("source_ok"),
         F.when(n % 7 == 0, "no").alias("department_ok"), nothing.alias("availability_ok"), nothing.alias("link_ok"), F.col("ts").alias("created"),
     )
-    reports = events.filter(n % 6 == 0).select("record_id", (F.floor("value").cast("int") % 30 - 3).alias("months_ahead"), F.when(kind == "view", "estimate").otherwise("own").alias("kind"), (n % 4 != 0).alias("displayable"))
+    reports = events.filter(kind.isin("view", "click", "signup")).select("record_id", (F.floor("value").cast("int") % 30 - 3).alias("months_ahead"), F.when(kind == "view", "estimate").otherwise("own").alias("kind"), (n % 4 != 0).alias("displayable"))
     out = evidence.reliability(table(spark, d, "customer").select(F.col("c_custkey").alias("id")), reviews, reports)
     return out.select("id", "reviews", "latest", "positive", "negative", "conflicting", "reports", "median_months", "label", (F.size("warnings") > 0).alias("few"))
 
@@ -393,7 +393,7 @@ def institution_items(spark, d):
     return out.select("key", "institution", "canton", "city", F.size("source_ids").cast("long").alias("sources"), F.array_join("states", ",").alias("states"), "records", "failed")
 
 
-@query("""with b as (select p_partkey as id, p_name as name, p_partkey % 13 = 0 as excluded, string_split(p_name, ' ') as t from part where p_size <= 20),
+@query("""with b as (select p_partkey as id, p_name as name, p_partkey % 13 = 0 as excluded, string_split(p_name, ' ') as t from part),
 k as (select distinct p_name as name, string_split(p_name, ' ') as t from part where p_brand <> 'Brand#11' and length(p_name) % 2 = 0),
 c as (select b.id, k.name, b.name = k.name as exact from b join k on len(list_intersect(b.t, k.t)) >= 2 or b.name = k.name)
 select b.id, case when excluded then 'excluded' when count(c.name) = 0 then 'missing' when count(c.name) > 1 and not bool_or(c.exact) then 'ambiguous' when bool_or(c.exact) then 'covered' else 'covered' end as status
@@ -403,7 +403,7 @@ def baseline_match(spark, d):
     part = table(spark, d, "part")
     known = part.filter("p_brand <> 'Brand#11' and length(p_name) % 2 = 0").select(F.col("p_name").alias("institution")).distinct()
     known = known.withColumns({"key": pl.institution_name(F.col("institution")), "records": F.lit(1)})
-    baseline = part.filter("p_size <= 20").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.when(F.col("p_partkey") % 13 == 0, "Out of scope").alias("notes"))
+    baseline = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.when(F.col("p_partkey") % 13 == 0, "Out of scope").alias("notes"))
     return matching.match(baseline, known).select("id", "status")
 
 
@@ -431,13 +431,15 @@ def crawl_summary(spark, d):
     return crawl.summary(table(spark, d, "events").select(F.col("user_id").alias("source_id"), status.alias("status")))
 
 
-@query(f"""with {_R}, {_S} select s.id, case when count(r.key) = 0 then 'no-records' when bool_or(r.review_status = 'needs-human-review') then 'needs-human-review' else 'parsed' end as parser_status,
-  count(r.key) as records, max(r.checked) as last_checked from s left join r on r.source_id = s.id and r.key % 20 = 3 group by 1""")
+@query(f"""with {_R}, {_S}, g as (select source_id, count(*) as n, max(checked) as seen, bool_or(review_status = 'needs-human-review') as open from r group by 1), e as (select 's' || user_id as source_id, count(*) as n from events group by 1)
+select s.id, case when g.n is null then 'no-records' when open then 'needs-human-review' else 'parsed' end as parser_status, coalesce(g.n, 0) as records, seen as last_checked, coalesce(e.n, 0) as changes
+from s left join g on g.source_id = s.id left join e on e.source_id = s.id""")
 def source_pages(spark, d):
-    """Each source with its records' state and number."""
-    rows = records(spark, d).filter("key % 20 = 3")
-    shown = crawl.source_rows(sources(spark, d), rows, rows.limit(0).select("source_id"))
-    return crawl.parser_status(sources(spark, d), rows).join(shown.select("id", "records", "last_checked"), "id")
+    """Each source with its records' state, and the numbers of its records and changes."""
+    rows = records(spark, d)
+    changed = table(spark, d, "events").select(F.concat(F.lit("s"), "user_id").alias("source_id"))
+    shown = crawl.source_rows(sources(spark, d), rows, changed)
+    return crawl.parser_status(sources(spark, d), rows).join(shown, "id")
 
 
 @query(f"""with {_S}, x as (select 'canton' as facet, canton as key from s union all select 'language', language from s union all select 'status', status from s union all select 'priority', cast(priority as varchar) from s

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftlode.functions import availability, dates
 from siftlode.functions import lexicon as lex
 from siftlode.functions import placement as pl
-from siftlode.operators import changes, keywords, parsers, quality
+from siftlode.operators import changes, crawl, keywords, matching, parsers, quality, registry, search
 from siftlode.plans import domain
 from siftlode.sources.tables import table
 
@@ -233,3 +233,79 @@ select 'unknown source', source_id, count(*) from r where source_id not in (sele
 def gate_violations(spark, d):
     """All that the gate's messages speak of."""
     return quality.gate_details(domain.records(spark, d), domain.sources(spark, d))
+
+
+#: A registry whose entries break rules: customers with names of their own, some without fields, some with ids and addresses that stood before.
+_ENTRY = {}
+_ENTRY["id"] = "case when c_custkey % 90 = 0 then concat('Haus ', cast(c_custkey as string)) when c_custkey % 70 = 0 then null when c_custkey % 40 = 3 then concat('haus-', cast(c_custkey - 1 as string)) else concat('haus-', cast(c_custkey as string)) end"
+_FIELDS = {
+    "institution": "c_name", "canton": "case c_custkey % 11 when 0 then 'XX' when 1 then null else 'BE' end", "city": "case when c_custkey % 13 <> 0 then c_mktsegment end", "language": "case when c_custkey % 17 = 0 then 'mixed' else 'de' end",
+    "source_language": "case when c_custkey % 19 = 0 then 'nl' when c_custkey % 19 = 1 then null else 'fr' end", "region": "case when c_custkey % 23 = 0 then 'CH' else 'unknown' end", "notes": "case when c_custkey % 29 = 0 then '' else 'seen' end",
+    "priority": "c_custkey % 7", "status": "case when c_custkey % 31 = 0 then 'active' else 'verified' end",
+}
+_ADDRESS = "case when c_custkey % 37 = 0 then 'no address' else concat('https://h.example/', cast(c_custkey - c_custkey % 2 as string)) end"
+_RULES = {
+    "id": ("coalesce(id, '') = ''", "id is required"), "id ": ("coalesce(id, '') <> '' and not regexp_matches(id, '^[a-z0-9]+(-[a-z0-9]+)*$')", "id must use lowercase kebab-case"), "canton": ("coalesce(canton, 'XX') <> 'BE'", "canton is known"),
+    "city": ("coalesce(city, '') = ''", "city is required"), "language": ("language <> 'de'", "language is known"), "source_language": ("source_language = 'nl'", "source language is known"), "region": ("region = 'CH'", "region is known"),
+    "notes": ("notes = ''", "notes is required"), "priority": ("priority not between 1 and 5", "priority is a whole number of 1 to 5"), "status": ("status = 'active'", "status is known"), "urls": ("position % 41 = 0", "urls must contain at least one URL"),
+}
+
+
+@query(f"""with e as (select c_custkey as position, {_ENTRY['id']} as id, {", ".join(f"{x} as {n}" for n, x in _FIELDS.items())} from customer),
+u as (select c_custkey as position, 0 as nth, {_ADDRESS} as url, 'list' as page_type, 'html' as mode from customer where c_custkey % 41 <> 0 union all
+  select c_custkey, 1, concat('https://own.example/', cast(c_custkey as string)), case when c_custkey % 43 <> 0 then 'page' end, case when c_custkey % 47 = 0 then 'fax' else 'pdf' end from customer where c_custkey % 41 <> 0),
+x as ({" union all ".join(f"select position, null::int as nth, '{n.strip()}' as field, '{said}' as message from e where {c}" for n, (c, said) in _RULES.items())} union all
+  select position, nth, 'url', 'url is an address' from u where url = 'no address' union all select position, nth, 'page_type', 'page_type is required' from u where page_type is null union all select position, nth, 'fetch_mode', 'fetch mode is known' from u where mode = 'fax' union all
+  select position, null, 'id', 'Duplicate source id "' || id || '" also appears at entry ' || (first + 1) || '.' from (select position, id, min(position) over (partition by id) as first from e where id is not null) where position > first union all
+  select position, nth, 'url', 'Duplicate source URL "' || url || '" also appears at entry ' || (first.p + 1) || ', URL ' || (first.n + 1) || '.' from (select position, nth, url, min({{'p': position, 'n': nth}}) over (partition by url) as first from u) where {{'p': position, 'n': nth}} > first)
+select cast(position + 1 as bigint) as entry, cast(nth + 1 as bigint) as url, position || case when nth is not null then '.urls.' || nth else '' end || '.' || field as path, message from x""")
+def registry_violations(spark, d):
+    """Broken rules of a nested registry, with their paths."""
+    address = lambda url, kind, mode: F.struct(F.expr(url).alias("url"), F.expr(kind).alias("page_type"), F.lit("generic").alias("parser"), F.expr(mode).alias("fetch_mode"))
+    both = F.array(address(_ADDRESS, "'list'", "'html'"), address("concat('https://own.example/', cast(c_custkey as string))", "case when c_custkey % 43 <> 0 then 'page' end", "case when c_custkey % 47 = 0 then 'fax' else 'pdf' end"))
+    urls = F.when(F.col("c_custkey") % 41 != 0, both).otherwise(F.array().cast("array<struct<url: string, page_type: string, parser: string, fetch_mode: string>>"))
+    entries = table(spark, d, "customer").select(F.col("c_custkey").alias("position"), F.expr(_ENTRY["id"]).alias("id"), *(F.expr(x).alias(n) for n, x in _FIELDS.items()), urls.alias("urls"))
+    return registry.violations(entries)
+
+
+@query(f"""with {domain._R}, {domain._S}, p as (select *, row_number() over (order by lower(institution), lower(coalesce(department, '')), lower(role_type), id) as place from r where key % 97 <> 0),
+g as (select source_id, count(*) as n, string_agg(id, ',' order by place) as ids from p group by 1),
+c as (select 's' || user_id as source_id, count(*) as n, string_agg('c' || event_id, ',' order by case event_type when 'error' then 0 else 1 end, event_type, 'c' || event_id) as ids from events group by 1)
+select s.id, coalesce(g.n, 0) as n_records, coalesce(g.ids, '') as records, coalesce(c.n, 0) as n_changes, coalesce(c.ids, '') as changes from s left join g on g.source_id = s.id left join c on c.source_id = s.id""")
+def source_documents(spark, d):
+    """Each source with its records and its changes in their order, the parts of a source put together again."""
+    rows = domain.records(spark, d).filter("key % 97 <> 0").select("source_id", "id", "institution", "department", "role_type")
+    severity = F.when(F.col("event_type") == "error", "review").otherwise("info")
+    changed = table(spark, d, "events").select(F.concat(F.lit("s"), "user_id").alias("source_id"), F.concat(F.lit("c"), "event_id").alias("change_id"), F.col("event_type").alias("change_type"), severity.alias("severity"))
+    parts = crawl.source_documents(domain.sources(spark, d), rows, changed)
+    listed = lambda c, of: F.array_join(F.transform(F.array_sort(F.flatten(F.collect_list(F.transform(c, lambda x: F.struct(x["place"].alias("place"), x[of].alias("id")))))), lambda x: x["id"]), ",").alias(c)
+    return parts.groupBy("id").agg(F.sum(F.size("records")).alias("n_records"), listed("records", "id"), F.sum(F.size("changes")).alias("n_changes"), listed("changes", "change_id"))
+
+
+@query("""with p as (select page_id, string_split(regexp_replace(coalesce(html, ''), '(<h[1-6])', chr(1) || '\\1', 'g'), chr(1)) as parts from pages)
+select page_id, sum(length(array_to_string(parts[:i], ''))) + 1 as start, sha256(trim(any_value(parts[i + 1]))) as slice from (select page_id, parts, unnest(range(1, len(parts))) as i from p) group by page_id, i""")
+def page_slices(spark, d):
+    """The text of pages from each heading to the next."""
+    pages = table(spark, d, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
+    parts = F.split("html", "(?=<h[1-6])")
+    # a page that begins with a heading has one at its start
+    at = F.aggregate(parts, F.struct(F.lit(1).alias("n"), F.array().cast("array<int>").alias("all")), lambda s, x: F.struct((s["n"] + F.char_length(x)).alias("n"), F.when(x.rlike("^<h[1-6]"), F.concat(s["all"], F.array(s["n"]))).otherwise(s["all"]).alias("all")))
+    rows = pages.withColumn("starts", at["all"])
+    return crawl.slices("html", "starts", rows, "page_id").select("page_id", F.col("start").cast("long").alias("start"), F.sha2("slice", 256).alias("slice"))
+
+
+@query(f"""with {domain._R} select key from r where review_status = 'needs-human-review' and language = 'de' and confidence = 'low' and method = 'generic-parser' and contains(lower(concat_ws(' ', institution, department)), 'spital 1')""")
+def queue_facets(spark, d):
+    """Records that wait for a review, by the facets of the queue and a search in their names."""
+    waiting = domain.records(spark, d).filter("review_status = 'needs-human-review'")
+    return search.faceted(waiting, {"language": "de", "confidence": "low", "method": "generic-parser"}, "Spital 1", ["institution", "department"]).select("key")
+
+
+@query("""with b as (select p_partkey as id, p_name as name, string_split(p_name, ' ') as t from part where p_partkey % 13 <> 0), k as (select p_name || ' nova' as name, string_split(p_name, ' ') as t, count(*) as n from part group by p_name)
+select k.name as institution from k where not exists (select 1 from b where len(list_intersect(b.t, k.t)) >= 2 and b.name like 'a%')""")
+def unmatched_institutions(spark, d):
+    """Institutions that no name of the baseline matches."""
+    part = table(spark, d, "part")
+    known = part.select(F.concat("p_name", F.lit(" nova")).alias("institution")).distinct().withColumns({"key": pl.institution_name(F.col("institution")), "records": F.lit(1)})
+    baseline = part.filter("p_partkey % 13 <> 0 and p_name like 'a%'").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.lit(None).cast("string").alias("notes"))
+    return matching.unmatched(known, matching.match(baseline, known)).select("institution")
