@@ -144,3 +144,8 @@ def reliability(records: DataFrame, reviews: DataFrame, reports: DataFrame) -> D
 def in_order(summaries: DataFrame) -> DataFrame:
     """Summaries by their ids, as a locale sorts them."""
     return summaries.orderBy(F.collate("id", "UNICODE"))
+
+
+def with_summaries(records: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Records with what the summary of their ``summary_id`` says; those without one keep nulls."""
+    return records.join(summaries, "summary_id", "left").drop("summary_id")

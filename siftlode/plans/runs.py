@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siftlode.functions import availability, dates
 from siftlode.functions import lexicon as lex
 from siftlode.functions import placement as pl
-from siftlode.operators import changes, crawl, keywords, matching, parsers, quality, registry, search
+from siftlode.operators import build, changes, crawl, evidence, keywords, matching, parsers, quality, registry, search
 from siftlode.plans import domain
 from siftlode.sources.tables import table
 
@@ -309,3 +309,42 @@ def unmatched_institutions(spark, d):
     known = part.select(F.concat("p_name", F.lit(" nova")).alias("institution")).distinct().withColumns({"key": pl.institution_name(F.col("institution")), "records": F.lit(1)})
     baseline = part.filter("p_partkey % 13 <> 0 and p_name like 'a%'").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.lit(None).cast("string").alias("notes"))
     return matching.unmatched(known, matching.match(baseline, known)).select("institution")
+
+
+@query("""select user_id, max(try_cast(seen as timestamp)) as newest, count(*) as n from (select user_id, case event_id % 3 when 0 then 'soon' when 1 then strftime(ts, '%Y-%m-%dT%H:%M:%S') else strftime(ts, '%Y-%m-%d') end as seen from events) group by 1""")
+def newest_check(spark, d):
+    """The newest time of each user that can be read; texts that are no times do not count."""
+    n = F.col("event_id") % 3
+    seen = F.when(n == 0, "soon").when(n == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    return table(spark, d, "events").select("user_id", seen.alias("seen")).groupBy("user_id").agg(F.max(F.try_to_timestamp("seen")).alias("newest"), F.count("*").alias("n"))
+
+
+@query(f"""with {domain._R}, {domain._EVIDENCE}, p as (select key, source_id || '|' || institution || '|' || {domain._DEPARTMENT} || '|' || role_type as place from r),
+g as (select place, count(*) as n, min_by(months, key) filter (kind = 'explicit-source') as stated, count(*) filter (kind = 'historical-observed') as observed, min(months) filter (kind = 'historical-observed') as least from e group by 1)
+select p.key, case when e.key is not null then g.n end as evidence, case when e.key is not null then cast(coalesce(stated, case when observed >= 3 then least end) as bigint) end as apply_min from p left join (select distinct key from e) e on e.key = p.key left join g on g.place = p.place""")
+def placement_summaries(spark, d):
+    """Each record with the summary of its place's lead times, where it has evidence of its own."""
+    rows = domain._seen(spark, d).withColumn("id", F.col("key"))
+    found = evidence.summaries(evidence.evidence(rows)).select(F.col("id").alias("summary_id"), "evidence", F.col("apply_min").cast("long").alias("apply_min"))
+    return evidence.with_summaries(rows.select("key", "summary_id"), found)
+
+
+_ROLE = "case when regexp_matches(told, '(?i)\\bunterassist') then 'Unterassistenz' when regexp_matches(told, '(?i)\\bwahlstudienjahr') then 'Wahlstudienjahr' when regexp_matches(told, '(?i)\\bpraktisches\\s+jahr\\b|\\bpj\\b') then 'PJ' when regexp_matches(told, '(?i)\\bfamulatur') then 'Famulatur' when regexp_matches(told, '(?i)\\b(?:stage|sous-assistant|etudiant\\s+en\\s+medecine)\\b') then 'ClinicalPlacement' else 'Unknown' end"
+
+
+@query(_SQL["page_outcomes"].split("select doc_id, case when skipped is not null then 0")[0].replace("h as (select doc_id, language, skipped,", f"h as (select doc_id, {_ROLE} as role_type, language, skipped,") + """,
+k as (select doc_id, role_type, unnest(case when departments = '' then [null] else string_split(departments, ',') end) as department from h where skipped is null and doc_id % 11 <> 0 and doc_id % 13 <> 0)
+select 'https://h.example/' || doc_id % 200 as url, case when doc_id % 50 % 2 = 0 then 'Haus ' || doc_id % 50 else 's' || doc_id % 50 end as institution, case when doc_id % 50 % 4 = 0 then 'BE' end as canton, department, role_type, min(doc_id) as doc_id from k group by all""")
+def snapshot_placements(spark, d):
+    """Documents as snapshots of two hundred pages, to records: of those with equal ids the first file's counts, with what the registry knows of their sources."""
+    none = F.lit(None).cast("string")
+    snapshots = told(spark, d).select(
+        F.expr("concat('s', doc_id % 50)").alias("sourceId"), F.expr("concat('https://h.example/', doc_id % 200)").alias("url"), F.lit("2026-07-07").cast("timestamp").alias("fetchedAt"), F.expr("case when doc_id % 11 = 0 then 404 else 200 end").alias("statusCode"),
+        F.expr("case when doc_id % 13 = 0 then 'timeout' end").alias("error"), none.alias("title"), F.col("told").alias("visibleText"), F.array().cast("array<struct<text: string, href: string>>").alias("extractedLinks"),
+        F.array().cast("array<string>").alias("extractedEmails"), none.alias("textHash"), F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("file"),
+    )
+    numbers = spark.range(50).filter("id % 2 = 0")
+    known = numbers.select(F.concat(F.lit("s"), "id").alias("id"), F.concat(F.lit("Haus "), "id").alias("institution"), F.expr("if(id % 4 = 0, 'hospital', 'university')").alias("institution_type"), F.lit("BE").alias("canton"), F.lit("Bern").alias("city"))
+    urls = spark.createDataFrame([], "source_id string, url string, expected_parser string, source_language string, region string")
+    out = build.placements(snapshots, urls, known, parsers.PARSERS[-1:])
+    return out.select("url", "institution", "canton", F.col("department_normalized").alias("department"), "role_type", F.col("file").cast("long").alias("doc_id"))
