@@ -58,8 +58,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     template found in a verified span, 1 where a phrase stands, 0 without either. Null and empty texts have no words, no places and empty
     labels. Rows that repeat id and text are each returned. Other columns are ignored; an empty table gives an empty result.
     """
-    # lower() also maps other capitals, none of them to a letter of a template
-    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), _WORDS), lambda w: w != "")
+    # lower() also maps other capitals; the two that it would map to a letter of a template are put aside
+    text = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("\u212a"), F.lit("\u0138")), F.lit("\u0130"), F.lit("\u0131"))
+    words = F.filter(F.split(F.lower(text), _WORDS), lambda w: w != "")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), words.alias("words"))
     n = F.size("words")
     hits = F.transform(F.sequence(F.lit(0), n - K), lambda i: F.struct(i.alias("p"), _hash(F.col("words"), i).alias("gram")))

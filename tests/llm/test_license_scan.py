@@ -36,3 +36,9 @@ def test_longer_templates_by_merged_diagonals(spark):
     assert got[3].labels == "" and got[3].score == 0
     assert got[4].labels == "mit" and 0.6 <= got[4].score < 1
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_capitals_beyond_ascii_are_no_letters_of_templates(spark):
+    text = "this wor\u212a is licensed under the mit l\u0130cense and under the MIT License"
+    row = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (13, 1, 9, 9)
