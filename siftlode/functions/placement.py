@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from siftlode.functions import lexicon as lex
 from siftlode.functions.dates import date_text, says, text_month_index
-from siftlode.functions.text import fold, let, lookup, slug, squeeze, title_case, words_of
+from siftlode.functions.text import ascii_words, fold, full, let, lookup, slug, squeeze, title_case, words_of
 
 # Wordings of a full house that a record's own text may have.
 BOOKED_IN_TEXT = ("ausgebucht", "keine freien platze", "keine freien stellen", "complet", "aucune place disponible", "occupato", "nessun posto disponibile", "fully booked")
-# Role types by the folded wordings that show them, in order.
-ROLE_TYPES = (("Unterassistenz", r"\bunterassist"), ("Wahlstudienjahr", r"\bwahlstudienjahr"), ("PJ", r"\bpraktisches\s+jahr\b|\bpj\b"), ("Famulatur", r"\bfamulatur"))
-ROLE_WORDS = r"(?i)\b(unterassistenz|unterassistent(?:in)?|wahlstudienjahr|praktisches\s+jahr|pj|famulatur|sous-assistant(?:e)?|stage|tirocinio|clinical placement|elective)\b"
+# The words by which pages name roles.
+ROLE_WORDS = ascii_words(r"\b(unterassistenz|unterassistent(?:in)?|wahlstudienjahr|praktisches\s+jahr|pj|famulatur|sous-assistant(?:e)?|stage|tirocinio|clinical placement|elective)\b")
 
 
 def has_any(folded: Column, words) -> Column:
@@ -54,15 +53,8 @@ def department_key(name: Column) -> Column:
     return F.when(name != "", F.coalesce(lookup(aliases, folded), slug(name)))
 
 
-def role_type(text: Column, default: Column | str = "ClinicalPlacement") -> Column:
-    folded, out = fold(text), F
-    for role, pattern in ROLE_TYPES:
-        out = out.when(folded.rlike(pattern), role)
-    return out.otherwise(default)
-
-
 def original_role(text: Column) -> Column:
-    return F.nullif(F.regexp_extract(text, ROLE_WORDS, 1), F.lit(""))
+    return full(F.regexp_extract(text, ROLE_WORDS, 1))
 
 
 def display_label(value: Column) -> Column:

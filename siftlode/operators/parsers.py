@@ -244,7 +244,7 @@ def profile_sections(profile: Profile) -> Column:
     return F.array_compact(F.array(*found)).cast(_SECTION)
 
 
-def pl_lookup(table: dict[str, tuple[str, ...]], key: Column) -> Column:
+def _words_by(table: dict[str, tuple[str, ...]], key: Column) -> Column:
     return F.coalesce(*(F.when(key == name, words_of(words)) for name, words in table.items()))
 
 
@@ -258,7 +258,7 @@ def profile_link(profile: Profile) -> Column:
     fitting = F.filter("links", lambda x: _has(_link_text(x), profile.link))
     if profile.by_heading:
         return F.get(fitting, F.lit(0))["href"]
-    names = F.coalesce(pl_lookup(LINK_WORDS, department), F.array(fold(department)))
+    names = F.coalesce(_words_by(LINK_WORDS, department), F.array(fold(department)))
 
     def chosen(links: Column) -> Column:
         own = F.when(department.isNotNull(), let(names, lambda ns: _first(links, lambda x: let(fold(_link_text(x)), lambda said: F.exists(ns, lambda n: F.contains(said, n)))))["href"])
@@ -268,6 +268,7 @@ def profile_link(profile: Profile) -> Column:
     return let(fitting, chosen)
 
 
+# Sums, and in the expressions below the wordings of contacts, languages, pay and rooms, and what warnings say.
 _MONEY = r"CHF\s*[\d'’.,-]+(?:\s*(?:pro|/)\s*Monat)?"
 
 

@@ -558,9 +558,18 @@ for _tag in text.HIDDEN_TAGS:
     _SHOWN = f"regexp_replace({_SHOWN}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}>', ' ', 'g')"
 
 
+_TEXT = "regexp_replace(regexp_replace(html, '(?is)<!--.*?-->', '', 'g'), '(?is)<head[^>]*>.*?</head>', '', 'g')"
+for _tag in text.HIDDEN_TAGS:
+    _TEXT = f"regexp_replace({_TEXT}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}>', '', 'g')"
+_TEXT = f"regexp_replace({_TEXT}, '(?s)<[^>]*>', '', 'g')"
+for _entity, _sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    _TEXT = f"replace({_TEXT}, '{_entity}', '{_sign}')"
+
+
 @query(f"""select page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '[\\s\\x{{a0}}]+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as title,
-  cast(len(list_distinct(regexp_extract_all({_SHOWN}, '(?is)<a\\s[^>]*href="([^"#]+)[^>]*>[^<]*\\S[^<]*</a>', 1))) as bigint) as n_links from pages""")
+  cast(len(list_distinct(regexp_extract_all({_SHOWN}, '(?is)<a\\s[^>]*href="([^"#]+)[^>]*>[^<]*\\S[^<]*</a>', 1))) as bigint) as n_links,
+  sha256(trim(regexp_replace({_TEXT}, '[\\s\\x{{a0}}]+', ' ', 'g'))) as text_hash from pages""")
 def page_content(spark, d):
-    """Title and links of pages as a browser shows them."""
+    """Title, links and text of pages as a browser shows them."""
     shown = table(spark, d, "pages").select("page_id", html.page(F.col("html"), F.concat(F.lit("https://h.example/"), "url")).alias("p"))
-    return shown.select("page_id", "p.title", F.size("p.links").cast("long").alias("n_links"))
+    return shown.select("page_id", "p.title", F.size("p.links").cast("long").alias("n_links"), F.sha2("p.text", 256).alias("text_hash"))

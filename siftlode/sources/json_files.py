@@ -6,16 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINK = "array<struct<text: string, href: string>>"
-#: Columns of a snapshot file.
+# Columns of a snapshot file.
 SNAPSHOT = (
     "sourceId string, url string, fetchedAt timestamp, statusCode int, contentType string, rawHash string, textHash string, title string, visibleText string, "
     f"extractedLinks {LINK}, extractedEmails array<string>, fetchModeUsed string, error string"
 )
-#: Columns of the export, in order.
+# Columns of the export, in order.
 EXPORT = (
     "id", "sourceId", "institutionName", "department", "roleType", "canton", "city", "availabilityStatus", "availableFrom", "fullyBookedUntil", "durationMinWeeks", "durationMaxWeeks",
     "applicationMethod", "applicationUrl", "contactEmail", "confidence", "reviewStatus", "sourceUrl", "lastChecked",
 )
+# Numbers of a crawl report.
 REPORT = ("sourceCount", "urlCount", "successCount", "failureCount", "skippedCount", "duplicateUrlCount")
 
 

@@ -7,9 +7,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from siftlode.plans import catalogue, domain, flagship
+from siftlode.plans import catalogue, domain, flagship, runs
 
 FOLDER = "/root/testdata/sf0.001"
+QUERIES = catalogue.queries() | domain.queries() | runs.queries()
+SQL = catalogue.oracle_sql() | domain.oracle_sql() | runs.oracle_sql()
 
 
 def plain(x):
@@ -28,10 +30,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql() | domain.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_rows(spark, duck, name):
-    ours = (catalogue.queries() | domain.queries())[name](spark, FOLDER)
-    theirs = duck.execute((catalogue.oracle_sql() | domain.oracle_sql())[name])
+    ours = QUERIES[name](spark, FOLDER)
+    theirs = duck.execute(SQL[name])
     names = [c[0] for c in theirs.description]
     assert sorted(ours.columns) == sorted(names)
     want = sorted((tuple(map(plain, r)) for r in theirs.fetchall()), key=str)
