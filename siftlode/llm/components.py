@@ -73,6 +73,7 @@ def link_components(
     groups = members.select("key", half.alias("half")).groupBy("key").agg(F.min("half").alias("lo"), F.max("half").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
     groups = ws.write(groups.select("key", "n"), "groups")
     shared = ws.write(checked_join(members, groups, "key", "inner", 32 * groups.count()).select("key", "node", "size", "n").distinct(), "met")
+    ws.settle()
     # the node that meets the most others is the likeliest centre of a group of copies
     weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
     if spare is not None:
@@ -82,11 +83,14 @@ def link_components(
     shared = ws.write(shared.join(weights, "node").select("key", "node", "size", "weight"), "shared")
     ws.drop("met")
     ws.drop("groups")
+    ws.settle()
     hubs = shared.groupBy("key").agg(F.max(F.struct("weight", "node", "size")).alias("hub")).select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"))
     near = fits(F.col("size"), F.col("hub_size"))
     pair = (F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     tried = ws.write(shared.join(hubs, "key").filter((F.col("node") != F.col("hub")) & near).select(*pair).distinct(), "pairs-0")
+    ws.settle()
     links = ws.write(verify(tried, "0"), "links-0")
+    ws.settle()
     labels = connected_components(ws, links, "comps-0")
 
     rest = _unsettled(ws, shared, labels, "rest-0")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``. Only a local session may do without that setting."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Only a local session may do without that setting; it gets a temporary folder of its own."""
     told = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if told:
         return told.rstrip("/")
@@ -45,6 +46,11 @@ class Workspace:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         self.names.discard(name)
 
+    def settle(self) -> None:
+        """Let go of the shuffle files behind tables that have been written: Spark deletes them once the driver has collected the plans that name them."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def keep(self, *names: str) -> None:
         """Delete all tables but these, which the result reads."""
         for name in self.names - {*names}:
