@@ -169,11 +169,15 @@ _IN_LANGUAGE = lambda table, where: "case language " + " ".join(f"when '{n}' the
 _FOUND = "concat_ws(',', " + ", ".join(f"case when len(list_filter(about, lambda s: regexp_matches({_FOLDED}, {quoted(p)}))) > 0 then '{key}' end" for key, p in _DEPARTMENT.items()) + ")"
 
 
-@query(f"""with {_TOLD}, a as (select doc_id, told, {_FOLD.format("trim(regexp_replace(told, '[\\s\\x{a0}]+', ' ', 'g'))")} as t, {_SENTENCES} as parts from d), b as (select *, {_SCORED} from a), c as (select doc_id, told, t, parts, {_LANGUAGE} as language from b),
+_ROLE = "case when regexp_matches(told, '(?i)\\bunterassist') then 'Unterassistenz' when regexp_matches(told, '(?i)\\bwahlstudienjahr') then 'Wahlstudienjahr' when regexp_matches(told, '(?i)\\bpraktisches\\s+jahr\\b|\\bpj\\b') then 'PJ' when regexp_matches(told, '(?i)\\bfamulatur') then 'Famulatur' when regexp_matches(told, '(?i)\\b(?:stage|sous-assistant|etudiant\\s+en\\s+medecine)\\b') then 'ClinicalPlacement' else 'Unknown' end"
+#: What the generic parser reads in each document, up to its departments.
+_READ = f"""with {_TOLD}, a as (select doc_id, told, {_FOLD.format("trim(regexp_replace(told, '[\\s\\x{a0}]+', ' ', 'g'))")} as t, {_SENTENCES} as parts from d), b as (select *, {_SCORED} from a), c as (select doc_id, told, t, parts, {_LANGUAGE} as language from b),
 e as (select *, {_IN_LANGUAGE(lex.ROLES, 't')} as role from c),
 f as (select *, case when not role and regexp_matches(told, {quoted(_JOBS)}) then 'other jobs' when not role and len(list_filter(parts, lambda s: regexp_matches(s, {quoted(_TRAINING)}) and {_IN_LANGUAGE(lex.APPLICATIONS, _FOLDED)})) = 0 then 'no signal' end as skipped from e),
-g as (select *, list_filter(parts, lambda s: regexp_matches(s, {quoted(_PLACES)})) as about from f), h as (select doc_id, language, skipped, case when skipped is null then {_FOUND} else '' end as departments from g)
-select doc_id, case when skipped is not null then 0 when departments = '' then 1 else len(string_split(departments, ',')) end as records, departments,
+g as (select *, list_filter(parts, lambda s: regexp_matches(s, {quoted(_PLACES)})) as about from f), h as (select doc_id, {_ROLE} as role_type, skipped, case when skipped is null then {_FOUND} else '' end as departments from g)"""
+
+
+@query(f"""{_READ} select doc_id, case when skipped is not null then 0 when departments = '' then 1 else len(string_split(departments, ',')) end as records, departments,
   case skipped when 'other jobs' then 'Generic parser skipped likely irrelevant job page https://h.example/' || doc_id || '.' when 'no signal' then 'Generic parser found no medical placement signal on https://h.example/' || doc_id || '.'
     else 'Generic parser output for https://h.example/' || doc_id || ' needs human review.' end as warning from h""")
 def page_outcomes(spark, d):
@@ -329,11 +333,9 @@ def placement_summaries(spark, d):
     return evidence.with_summaries(rows.select("key", "summary_id"), found)
 
 
-_ROLE = "case when regexp_matches(told, '(?i)\\bunterassist') then 'Unterassistenz' when regexp_matches(told, '(?i)\\bwahlstudienjahr') then 'Wahlstudienjahr' when regexp_matches(told, '(?i)\\bpraktisches\\s+jahr\\b|\\bpj\\b') then 'PJ' when regexp_matches(told, '(?i)\\bfamulatur') then 'Famulatur' when regexp_matches(told, '(?i)\\b(?:stage|sous-assistant|etudiant\\s+en\\s+medecine)\\b') then 'ClinicalPlacement' else 'Unknown' end"
 
 
-@query(_SQL["page_outcomes"].split("select doc_id, case when skipped is not null then 0")[0].replace("h as (select doc_id, language, skipped,", f"h as (select doc_id, {_ROLE} as role_type, language, skipped,") + """,
-k as (select doc_id, role_type, unnest(case when departments = '' then [null] else string_split(departments, ',') end) as department from h where skipped is null and doc_id % 11 <> 0 and doc_id % 13 <> 0)
+@query(_READ + """, k as (select doc_id, role_type, unnest(case when departments = '' then [null] else string_split(departments, ',') end) as department from h where skipped is null and doc_id % 11 <> 0 and doc_id % 13 <> 0)
 select 'https://h.example/' || doc_id % 200 as url, case when doc_id % 50 % 2 = 0 then 'Haus ' || doc_id % 50 else 's' || doc_id % 50 end as institution, case when doc_id % 50 % 4 = 0 then 'BE' end as canton, department, role_type, min(doc_id) as doc_id from k group by all""")
 def snapshot_placements(spark, d):
     """Documents as snapshots of two hundred pages, to records: of those with equal ids the first file's counts, with what the registry knows of their sources."""
