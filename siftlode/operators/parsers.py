@@ -17,7 +17,8 @@ from siftlode.functions import lexicon as lex
 from siftlode.functions import placement as pl
 from siftlode.functions.availability import EXPLICIT, availability, explicit
 from siftlode.functions.dates import date_text
-from siftlode.functions.text import ascii_words, fold, full, let, lookup, sentences, squeeze, words_of
+from siftlode.functions.text import ascii_words, fold, full, let, lookup, squeeze, words_of
+from siftlode.operators import keywords
 
 SNIPPET = 700
 # Wordings of training, of other jobs, and of what makes a sentence speak of a department's places.
@@ -352,10 +353,16 @@ def _holds(where: Column, words: Column) -> Column:
     return F.exists(words, lambda w: F.contains(where, w))
 
 
+def _held(table: dict) -> Column:
+    """Whether the text holds one of the words of its language."""
+    return F.coalesce(*(F.when(F.col("language") == name, keywords.any_of(F.col("hits"), dict.fromkeys(table[name]))) for name in lex.LANGUAGES))
+
+
 def _skipped() -> Column:
     """Why the generic parser takes no record from a page; null where it does. Needs ``role``, whether a word of a role stands in the text."""
     text, role = F.col("text"), F.col("role")
-    trained = lambda words: F.exists("parts", lambda x: x.rlike(TRAINING) & _holds(fold(x), words))
+    # what no sentence of the whole text holds, none need be read for
+    trained = lambda words: _held(lex.APPLICATIONS) & F.exists("parts", lambda x: x.rlike(TRAINING) & _holds(fold(x), words))
     return F.when(~role & text.rlike(OTHER_JOBS), "other jobs").when(~role & ~let(_by_language(lex.APPLICATIONS), trained), "no signal")
 
 
@@ -365,18 +372,19 @@ def generic_sections() -> Column:
     title = fold(F.coalesce("title", F.lit("")))
     name_of = lambda names, t: _first(words_of(names), lambda n: let(fold(n), lambda x: F.contains(t, x) | F.contains(folded, x)))
 
-    def found(title: Column, about: Column) -> Column:
+    def found(title: Column, about: Column, held: Column) -> Column:
         out = []
         for key, by in lex.DEPARTMENTS.items():
             names = [n for language_names in by.values() for n in language_names]
             pattern = ascii_words(r"\b(?:" + "|".join(dict.fromkeys(pl.folded_name(n) for n in names)) + r")\b")
-            told = title.rlike(pattern) | F.exists(about, _matches(pattern))
+            told = title.rlike(pattern) | F.array_contains(held, key) & F.exists(about, _matches(pattern))
             section = F.struct(F.coalesce(name_of(names, title), F.lit(names[0])).alias("department"), F.lit(key).alias("normalized"), text.alias("text"))
             out.append(F.when(told, section))
         return F.array_compact(F.array(*out)).cast(_SECTION)
 
     about = F.transform(F.filter("parts", lambda x: x.rlike(PLACES)), fold)
-    departments = let(F.struct(title.alias("t"), about.alias("a")), lambda x: found(x["t"], x["a"]))
+    # a name that a sentence holds as words, the whole text holds so too
+    departments = let(F.struct(title.alias("t"), about.alias("a"), keywords.departments(F.col("hits")).alias("h")), lambda x: found(x["t"], x["a"], x["h"]))
     nobody = F.array(F.struct(F.lit(None).cast("string").alias("department"), F.lit(None).cast("string").alias("normalized"), text.alias("text"))).cast(_SECTION)
     return F.when(F.col("skipped").isNull(), let(departments, lambda d: F.when(F.size(d) > 0, d).otherwise(nobody))).otherwise(F.array().cast(_SECTION))
 
@@ -462,10 +470,14 @@ def _prepared(pages: DataFrame, parsers: Sequence[RuleSet]) -> DataFrame:
     needed = ("source_id", "url", "title", "visible_text", "links", "emails", "expected_parser", "source_language")
     rows = pages.select(page.alias("page"), *needed, region.alias("page_region"))
     rows = _settled(rows, parser=selected(parsers), text=squeeze(F.coalesce("visible_text", F.lit(""))))
-    rows = _settled(rows, parts=sentences(F.col("text")), folded=fold(F.col("text")))
+    # the text has single blanks, and so have its sentences
+    parts = F.filter(F.transform(F.split(F.regexp_replace("text", r"([.!?]) ", "$1\n"), "\n"), F.trim), lambda x: x != "")
+    rows = _settled(rows, parts=parts, folded=fold(F.col("text")))
     known = F.col("source_language").isin(*lex.LANGUAGES)
-    rows = _settled(rows, language=F.when(known, F.col("source_language")).otherwise(pl.folded_language(F.col("folded"))))
-    rows = _settled(rows, role=let(_by_language(lex.ROLES), lambda words: _holds(F.col("folded"), words)))
+    # one reading for the words of all languages and the names of all departments
+    rows = rows.withColumn("hits", keywords.hits(F.col("folded")))
+    rows = _settled(rows, language=F.when(known, F.col("source_language")).otherwise(keywords.language(F.col("hits"))))
+    rows = _settled(rows, role=_held(lex.ROLES))
     return _settled(rows, skipped=F.when(F.col("parser") == "generic", _skipped()))
 
 
@@ -506,11 +518,14 @@ def parse(pages: DataFrame, parsers: Sequence[RuleSet] = PARSERS) -> DataFrame:
     )
 
 
-def page_results(pages: DataFrame, records: DataFrame, key: str = "url", parsers: Sequence[RuleSet] = PARSERS) -> DataFrame:
-    """``(key, parser, records, confidence, warnings)`` per page, pages without any of the parsed records included. Warnings are those of the page's parser."""
+def page_results(pages: DataFrame, records: DataFrame, key: str = "url", parsers: Sequence[RuleSet] = PARSERS, **also: Column) -> DataFrame:
+    """``(key, parser, records, confidence, warnings)`` per page, pages without any of the parsed records included. Warnings are those of the page's parser.
+
+    ``also`` names aggregates of a page's records, which are read once for all; null where there is none.
+    """
     made = _columns(tuple(parsers))
     number = lambda c: F.count_if(F.col("confidence") == c).alias(c)
-    counts = records.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("records"), *map(number, ("high", "medium", "low")))
+    counts = records.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("records"), *map(number, ("high", "medium", "low")), *(c.alias(n) for n, c in also.items()))
     rows = _prepared(pages, parsers).withColumn("__key", F.col(f"page.{key}"))
     both = rows.join(counts, "__key", "left").fillna(0, ["records", "high", "medium", "low"])
     none = F.col("records") == 0
@@ -518,4 +533,4 @@ def page_results(pages: DataFrame, records: DataFrame, key: str = "url", parsers
     silent = _texts(F.concat(F.lit("Parser "), F.col("parser"), _of_page(" returned no placement records for ", "; human review is needed.")))
     told = let(own, lambda said: F.when(none & (F.size(said) == 0), silent).otherwise(said))
     confidence = F.when(none, "low").otherwise(made["confidence"])
-    return both.select(F.col("__key").alias(key), "parser", "records", confidence.alias("confidence"), told.alias("warnings"))
+    return both.select(F.col("__key").alias(key), "parser", "records", confidence.alias("confidence"), told.alias("warnings"), *also)

@@ -44,3 +44,10 @@ def test_titles(spark, tmp_path):
 def test_contents(spark, tmp_path):
     got, want = both(spark, tmp_path, domain, "page_content", ENTITIES)
     assert got == want
+
+
+def test_outcomes_read_pages_once(spark):
+    # the records of a page are made once, for their numbers and their departments alike
+    rows = runs.queries()["page_outcomes"](spark, FOLDER)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posexplode") == 1
