@@ -5,13 +5,13 @@ character of a script written without blanks is a word of its own). Equal forms
 similarity reaches the bound are linked, and of each connected group only the first occurrence stays, by document id and
 line number.
 
-Candidates share a key. A line of up to nine words, which one edit may tell from another, has its form and the forms
-with one word left out (pigeonhole over the places of the edit: no pair is missed); a line of eight to fifteen words has all
-its runs of three words, of which the edits that the bound allows leave one whole (pigeonhole over segments); a longer line, and
-any of thirteen words that may be like one, has all its runs of four words, of which the edits leave one whole too. Of a key's lines each meets a few first;
-those that stay apart from any other of their keys then meet on all keys. No linked pair is missed. SimHash blocks in their
-place find few such lines: at similarity 0.8 a fifth of the bits differ, so that no block wide enough to tell lines apart
-stays whole. The README has the recall of both.
+Candidates share a key: a run of one to six words. Runs that few lines are expected to have, and that hold no shorter such run, stand in
+one order for all lines, the rarest first; a line's keys are its first ones, as many as the edits that the bound allows cannot all
+touch (no edit touches more than q runs of q words, none within another, so each counts 1/q). Of two linked lines that whose keys end first
+in the order has one that the other has whole, and among its keys too (prefix filter over runs), so that no linked pair is missed. A line with too few such runs has its single words as well. How rare a run is
+is guessed from the words of a bounded sample of lines, and runs that many of these share come last: the guess decides how
+many keys there are, and no result. SimHash blocks in their place find few such lines: at similarity 0.8 a fifth of the bits differ,
+so that no block wide enough to tell lines apart stays whole. The README has the recall of both.
 """
 
 from __future__ import annotations
@@ -22,19 +22,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftlode.llm import textvec as tv
-from siftlode.llm.components import link_components
+from siftlode.llm.components import link_all
 from siftlode.llm.toxicity import WORD
 from siftlode.llm.workspace import Workspace, checked_join, fresh
 
 _U = np.uint64
 #: First bytes of characters that may be words of their own.
 _LEAD = tv.table([0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0])
-#: Words of the runs of longer lines, and words of the shortest line that has some: the least that is like one of sixteen.
-RUN, LEAST = 4, 13
-#: Words of the runs of middling lines, and of the lines that have them.
-WHOLE, MIDDLE = 3, range(8, 16)
-#: Words of the lines with keys for each word left out; fewer than the first allow no edit among themselves.
-SHORT = range(4, 10)
+#: Words of the longest run that may be a key, of the shortest line that may be like another, and lines that a rare run is expected in.
+LONGEST, LEAST, RARE = 6, 4, 8
+#: Lines that the guesses come from, about, their words at most, bits of the words' places, and how many of the lines make a run a common one.
+SAMPLE, WIDEST, BITS, COMMON = 20_000, 1_000, 20, 8
+#: Parts that the keys are worked on in, one after another, at most, the lines that make another part worth while, and steps of a doubling in which frequencies are told.
+PARTS, PART, STEPS = 6, 50_000, 16
 _PLACE = _U(0x9E3779B97F4A7C15)
 
 
@@ -77,55 +77,93 @@ def _nodes(h: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
     return tv.mix(np.add.reduceat(tv.mix(flat + place.astype(_U) * _PLACE), ends - words) + words.astype(_U))
 
 
-def _forms(h: np.ndarray) -> np.ndarray:
-    """The same of the rows of a matrix."""
-    place = np.arange(h.shape[1], dtype=_U) * _PLACE
-    return tv.mix(tv.mix(h + place).sum(axis=1, dtype=_U) + _U(h.shape[1]))
-
-
-def _runs(h: np.ndarray, at: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line, hash) of the different runs of so many words of each line, by line and hash."""
-    number = words - size + 1
-    ends = np.cumsum(number)
-    first = np.repeat(at - (ends - number), number) + np.arange(ends[-1])
-    run = h[first]
-    for j in range(1, size):
-        run = run * _PLACE + h[first + j]
-    run = tv.mix(run + _U(size))
-    line = np.repeat(np.arange(len(at)), number)
-    # by line and hash: the lines are few enough for the high bits
-    bits = _U(64 - max(1, int(len(at)).bit_length()))
-    order = np.argsort(line.astype(_U) << bits | run >> (_U(64) - bits), kind="stable")
-    line, run = line[order], run[order]
-    new = np.ones(len(run), bool)
-    new[1:] = (run[1:] != run[:-1]) | (line[1:] != line[:-1])
-    return line[new], run[new]
-
-
-def line_keys(h: np.ndarray, at: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of lines given by their words' hashes, first words and numbers of words; by line."""
-    lines, keys = [np.empty(0, np.int64)], [np.empty(0, _U)]
-    for n in SHORT:
-        own = np.flatnonzero(words == n)
-        if len(own):
-            rows = h[at[own][:, None] + np.arange(n)]
-            variants = [rows] if n == SHORT[0] else [rows, *(np.delete(rows, i, axis=1) for i in range(n))]
-            lines.append(np.tile(own, len(variants)))
-            keys.append(np.concatenate([_forms(v) for v in variants]))
-    for own, run in ((np.flatnonzero((words >= MIDDLE[0]) & (words <= MIDDLE[-1])), WHOLE), (np.flatnonzero(words >= LEAST), RUN)):
-        if len(own):
-            line, key = _runs(h, at[own], words[own], run)
-            lines.append(own[line])
-            keys.append(key)
-    line, key = np.concatenate(lines), np.concatenate(keys)
-    order = np.argsort(line, kind="stable")
-    return line[order], key[order]
+class Guess:
+    """How many lines a run is expected in, by the logarithm of its words' frequencies, and the hashes of runs that many lines share."""
+
+    def __init__(self, rate: np.ndarray, total: int):
+        self.rate, self.total, self.common = rate, total, np.empty(0, _U)
+
+    @classmethod
+    def of(cls, words: np.ndarray, numbers: np.ndarray, every: int) -> Guess:
+        """From sampled lines (their words one after another, and how many each has), one of ``every``."""
+        count = np.bincount((_spread(words) >> _U(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+        guess = cls(np.rint(STEPS * np.log2((count + 1.0) * every)).astype(np.int32), round(STEPS * np.log2(max(1, len(words)) * float(every))))
+        for _ in range(LONGEST):
+            # runs longer than those found common so far may be common as well
+            key, number = np.unique(line_keys(words, numbers, guess)[1], return_counts=True)
+            new = np.setdiff1d(key[number >= COMMON], guess.common)
+            if not len(new):
+                break
+            guess.common = np.union1d(guess.common, new)
+        return guess
+
+    def knows(self, key: np.ndarray) -> np.ndarray:
+        """Whether each is common."""
+        if not len(self.common):
+            return np.zeros(len(key), bool)
+        return self.common[np.minimum(np.searchsorted(self.common, key), len(self.common) - 1)] == key
+
+
+def _spread(words: np.ndarray) -> np.ndarray:
+    return tv.mix(words.astype(_U) + _U(1))
+
+
+def _runs(h: np.ndarray, left: np.ndarray, rate: np.ndarray, guess: Guess):
+    """(place, key, words, rank) of the runs that may be keys, by size; none but a single word of the last kind touches a shorter one whole.
+
+    left: words from each place to the end of its line.
+    """
+    n, run, expected, inside = len(h), h.copy(), rate.copy(), np.zeros(len(h), bool)
+    for q in range(1, LONGEST + 1):
+        if q > 1:
+            run[: n - q + 1] = run[: n - q + 1] * _PLACE + h[q - 1 :]
+            expected[: n - q + 1] += rate[q - 1 :] - guess.total
+        at = np.flatnonzero((left >= q) & ~inside & ((expected <= STEPS * np.log2(RARE)) | (q == LONGEST)))
+        key = tv.mix(run[at] + _U(q))
+        common = guess.knows(key)
+        if q < LONGEST:
+            at, key, common = at[~common], key[~common], common[~common]
+        yield at, key, q, (q + common << 16) + np.clip(expected[at] + (1 << 15), 0, (1 << 16) - 1)
+        inside[at] = True
+        # from here on: a shorter run lies between a place and one word further
+        inside[:-1] |= inside[1:].copy()
+
+
+def line_keys(words: np.ndarray, numbers: np.ndarray, guess: Guess) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of lines given by their words' 32-bit hashes, one line after another, and numbers of words; by line."""
+    if not len(words):
+        return np.empty(0, np.int64), np.empty(0, _U)
+    h, ends = _spread(words), np.cumsum(numbers)
+    line_of = np.repeat(np.arange(len(numbers)), numbers)
+    rate = guess.rate[(h >> _U(64 - BITS)).astype(np.int64)]
+    # the edits that tell a line from the longest that it may be like
+    edits = 5 * numbers // 4 // 5
+    place, key, size, rank = zip(*((at, key, np.full(len(at), q), rank) for at, key, q, rank in _runs(h, ends[line_of] - np.arange(len(h)), rate, guess)), strict=True)
+    place, key, size, rank = (np.concatenate(x) for x in (place, key, size, rank))
+    # each run counts 1/size: those of a line that an edit touches count one together at most
+    worth = 60 // size
+    bare = np.bincount(line_of[place], worth, minlength=len(numbers)) <= 60 * edits
+    single = np.zeros(len(h), bool)
+    single[place[size == 1]] = True
+    more = np.flatnonzero(bare[line_of] & ~single)
+    alone = np.bincount(line_of[single], minlength=len(numbers))
+    place, key = np.concatenate([place, more]), np.concatenate([key, tv.mix(h[more] + _U(1))])
+    worth, rank = np.append(worth, np.full(len(more), 60)), np.append(rank, (LONGEST + 2 << 16) + rate[more] + (1 << 15))
+    late = np.arange(len(place)) >= len(place) - len(more)
+    line = line_of[place]
+    order = np.lexsort((rank.astype(_U) << _U(44) | key >> _U(20), line))
+    line, key, worth, late = line[order], key[order], worth[order], late[order]
+    before = lambda x: (c := np.cumsum(x)) - x - np.append(0, c)[np.searchsorted(line, np.arange(len(numbers)))][line]
+    # single words of the last kind touch the runs before them, so that they count with the other single words alone
+    own = np.where(late, 60 * (before(late.astype(np.int64)) + alone[line]) <= 60 * edits[line], before(np.where(late, 0, worth)) <= 60 * edits[line])
+    own &= numbers[line] >= LEAST
+    return line[own], key[own]
 
 
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, text_key, line_no, node, words, form, keys) per line of at least ``min_words`` words.
+    """(doc_id, text_key, line_no, node, words, form) per line of at least ``min_words`` words.
 
-    node hashes the form; the form's words as 32-bit hashes, and the keys, stand with one of the equal lines of about a mebibyte of text.
+    node hashes the form; the form's words as 32-bit hashes stand with one of the equal lines of about a mebibyte of text.
     """
 
     def run(batches):
@@ -142,13 +180,45 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
                 ends = np.cumsum(size)
                 flat = h[np.repeat(at - (ends - size), size) + np.arange(ends[-1])]
                 form = pa.Array.from_buffers(pa.binary(), len(node), [pa.array(one).buffers()[1], pa.py_buffer((4 * np.append(0, ends)).astype("<i4")), pa.py_buffer((flat >> _U(32)).astype("<u4"))])
-                line, key = line_keys(h, at, np.where(one, words, 0))
-                keys = tv.list_array(tv.signed(key), np.bincount(line, minlength=len(node)), pa.int64())
                 rows = pa.array(owner + lo)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(number), pa.array(tv.signed(node)), pa.array(words), form, keys], names)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(number), pa.array(tv.signed(node)), pa.array(words), form], names)
+
+    names = ["doc_id", "text_key", "line_no", "node", "words", "form"]
+    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, line_no long, node long, words long, form binary")
+
 
-    names = ["doc_id", "text_key", "line_no", "node", "words", "form", "keys"]
-    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, line_no long, node long, words long, form binary, keys array<long>")
+def _flat(forms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words of forms one after another, and how many each has."""
+    number = np.array([len(x.as_buffer()) // 4 for x in forms], np.int64)
+    return np.frombuffer(b"".join(x.as_py() for x in forms), "<u4"), number
+
+
+def guessed(forms: DataFrame, nodes: int) -> Guess:
+    """From a bounded sample of different lines."""
+    every = max(1, nodes // SAMPLE)
+    rows = forms.filter((F.pmod("node", F.lit(every)) == 0) & (F.col("words") <= WIDEST)).select("form").limit(2 * SAMPLE).toArrow()
+    return Guess.of(*_flat(rows.column(0).combine_chunks()), every)
+
+
+def keyed(forms: DataFrame, guess: Guess, parts: int) -> DataFrame:
+    """(node, size, part, keys) of forms, a row per part of the keys."""
+    told = forms.sparkSession.sparkContext.broadcast((guess.rate, guess.total, guess.common))
+
+    def run(batches):
+        own = Guess(*told.value[:2])
+        own.common = told.value[2]
+        for b in batches:
+            for lo, hi, *_ in tv.chunks(b.column(2), 4 << 20):
+                piece = b.slice(lo, hi - lo)
+                words, number = _flat(piece.column(2))
+                line, key = line_keys(words, number, own)
+                part = (key >> _U(32)) % _U(parts)
+                for p in range(parts):
+                    mine = part == _U(p)
+                    keys = tv.list_array(tv.signed(key[mine]), np.bincount(line[mine], minlength=len(number)), pa.int64())
+                    yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(np.full(len(number), p, np.int32)), keys], ["node", "size", "part", "keys"])
+
+    return forms.select("node", "words", "form").mapInArrow(run, "node long, size long, part int, keys array<long>")
 
 
 def edit_distance(a: list, b: list) -> int:
@@ -215,35 +285,29 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 1)
     if not 0.8 <= similarity <= 1:
         raise ValueError("the keys are made for similarities of 0.8 to 1")
     ws = Workspace(docs.sparkSession, "line-dedup")
-    lines = ws.write(line_table(docs, min_words), "lines")
+    raw = ws.write(line_table(docs, min_words), "raw")
+    forms = ws.write(raw.filter("form is not null").select("node", "words", "form").dropDuplicates(["node"]), "forms")
+    lines = ws.write(raw.select("doc_id", "text_key", "line_no", "node"), "lines")
+    ws.drop("raw")
+    ws.settle()
     place = F.struct("doc_id", "text_key", "line_no")
     classes = lines.select("node", place.alias("place")).groupBy("node").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    forms: list[DataFrame] = []
 
     def verify(pairs: DataFrame, step: str) -> DataFrame:
-        if not forms:
-            # pairs with the hubs leave out nodes that do not fit theirs, but fit others
-            forms.append(ws.write(lines.filter("form is not null").select("node", "form").dropDuplicates(["node"]), "forms"))
         # all words of both, so that a pair is judged by edit similarity alone
-        left, right = (forms[0].select(F.col("node").alias(end), F.col("form").alias(f"{side}_form")) for end, side in (("a", "left"), ("b", "right")))
+        left, right = (forms.select(F.col("node").alias(end), F.col("form").alias(f"{side}_form")) for end, side in (("a", "left"), ("b", "right")))
         return similar(pairs.join(left, "a").join(right, "b").select("a", "b", "left_form", "right_form"), similarity)
 
     def fits(n, m):
         """No more edits than the bound allows, so no larger difference of lengths."""
         return F.abs(n - m) <= F.floor(F.greatest(n, m) * F.lit(1 - similarity) + 1e-9)
 
-    members = lines.filter("form is not null").select(F.explode("keys").alias("key"), "node", F.col("words").alias("size"))
-
-    def tokens(nodes: DataFrame, step: str) -> DataFrame:
-        # one edit may leave a single key, so that all of them count
-        own = members.join(nodes, "node", "left_semi").select("node", F.col("key").alias("token"), "size").distinct()
-        return own.select("node", "token", F.lit((1 << 31) - 1).alias("prefix"), "size")
-
-    def overlap(n, m):
-        """Any key will do for lines whose lengths fit, and no number of them for others."""
-        return F.when(fits(n, m), F.lit(-(1 << 40))).otherwise(F.lit(1 << 40))
-
-    labels = link_components(ws, members, verify, fits, tokens, overlap)
+    long = forms.filter(F.col("words") >= LEAST)
+    nodes = long.count()
+    number = max(1, min(PARTS, nodes // PART))
+    parts = ws.split(keyed(long, guessed(long, nodes), number), "keys", "part", number)
+    members = {name: part.select(F.explode("keys").alias("key"), "node", "size") for name, part in parts.items()}
+    labels = link_all(ws, members, verify, fits)
     ranked = classes.join(labels, "node", "left").filter("n > 1 or comp is not null").select("node", F.coalesce("comp", "node").alias("comp"), "first")
     ranked = ws.write(ranked, "ranked")
     keep = ranked.join(ranked.groupBy("comp").agg(F.min("first").alias("keep")), "comp").select("node", "keep")
