@@ -124,64 +124,48 @@ def link_components(
     return _merged(ws, labels, ws.write(verify(pairs, "2"), "links-2"), "comps-2")
 
 
-def link_all(ws: Workspace, parts: dict[str, DataFrame], verify: Callable[[DataFrame, str], DataFrame], fits: Callable[[Column, Column], Column]) -> DataFrame:
+def link_all(
+    ws: Workspace,
+    large: DataFrame,
+    few: DataFrame,
+    others: Callable[[DataFrame], DataFrame],
+    verify: Callable[[DataFrame, str], DataFrame],
+    fits: Callable[[Column, Column], Column],
+) -> DataFrame:
     """Components of the nodes of which any two that link share a key: ``(node, comp)`` for the nodes that link with any other.
 
-    parts: by the name of its table, ``(key, node, size)`` of the keys of a part; each part is dropped when its shared keys are known, so that
-    no more than one lies in shuffle files. The members of a key meet its hub, then two others, and those still apart all others.
+    large: ``(key, node, size, place)`` of the keys with many members. few: ``(a, b, turn)``, the pairs of all other keys, of turn 0 those with a
+    key's first member. The members of a key meet its hub, the first, then two others, and those still apart all others: ``others`` has, from
+    ``(key, node, size, place, comp)``, the pairs of different components.
     """
-    half = F.shiftright("node", 32)
     pair = (F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     near = fits(F.col("size"), F.col("hub_size"))
-    shared, first = {}, []
-    for k, (name, members) in enumerate(parts.items()):
-        groups = members.select("key", half.alias("half")).groupBy("key").agg(F.min("half").alias("lo"), F.max("half").alias("hi")).filter("lo < hi").select("key")
-        groups = ws.write(groups, f"groups-{k}")
-        shared[k] = ws.write(checked_join(members, groups, "key", "inner", 24 * groups.count()).select("key", "node", "size").distinct(), f"shared-{k}")
-        ws.drop(f"groups-{k}")
-        ws.drop(name)
-        hubs = shared[k].groupBy("key").agg(F.min(F.struct("node", "size")).alias("hub")).select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"))
-        first.append(ws.write(shared[k].join(hubs, "key").filter((F.col("node") != F.col("hub")) & near).select(*pair).distinct(), f"first-{k}"))
-        ws.settle()
-
-    def one(tables: list[DataFrame], name: str) -> DataFrame:
-        every = tables[0]
-        for t in tables[1:]:
-            every = every.union(t)
-        return ws.write(every.distinct(), name)
-
-    tried = one(first, "pairs-0")
-    for k in shared:
-        ws.drop(f"first-{k}")
+    hubs = large.groupBy("key").agg(F.min(F.struct("node", "size")).alias("hub")).select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"))
+    first = large.join(hubs, "key").filter((F.col("node") != F.col("hub")) & near).select(*pair)
+    tried = ws.write(few.filter("turn = 0").select("a", "b").union(first).distinct(), "pairs-0")
     ws.settle()
     labels = connected_components(ws, ws.write(verify(tried, "0"), "links-0"), "comps-0")
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("comp").alias(f"c{end}"))
+    apart = few.filter("turn > 0").join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     for step in (1, 2):
         ws.settle()
-        more = []
-        for k in list(shared):
-            rest = _unsettled(ws, shared[k], labels, f"rest-{step}-{k}")
-            ws.drop(f"shared-{k}" if step == 1 else f"rest-1-{k}")
-            shared[k] = rest.select("key", "node", "size")
-            if step == 1:
-                met = rest.groupBy("key", F.pmod("node", F.lit(FEW)).alias("slot")).agg(F.min(F.struct("node", "size", "comp")).alias("hub"))
-                met = met.select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.comp").alias("hub_comp"))
-                found = rest.join(met, "key").filter((F.col("comp") != F.col("hub_comp")) & near).select(*pair)
-            else:
-                both = rest.toDF("key", "a", "na", "ca").join(rest.toDF("key", "b", "nb", "cb"), "key")
-                found = both.filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb"))).select("a", "b")
-            more.append(ws.write(found.distinct().join(tried, ["a", "b"], "left_anti"), f"more-{step}-{k}"))
-            ws.settle()
-        new = one(more, f"pairs-{step}")
-        for k in shared:
-            ws.drop(f"more-{step}-{k}")
+        large = _unsettled(ws, large, labels, f"rest-{step}")
+        if step == 1:
+            met = large.groupBy("key", F.pmod("node", F.lit(FEW)).alias("slot")).agg(F.min(F.struct("node", "size", "comp")).alias("hub"))
+            met = met.select("key", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.comp").alias("hub_comp"))
+            found = apart.union(large.join(met, "key").filter((F.col("comp") != F.col("hub_comp")) & near).select(*pair))
+        else:
+            found = others(large)
+        large = large.drop("comp")
+        new = ws.write(found.distinct().join(tried, ["a", "b"], "left_anti"), f"pairs-{step}")
         labels = _merged(ws, labels, ws.write(verify(new, str(step)), f"links-{step}"), f"comps-{step}")
         tried = tried.union(new)
     return labels
 
 
 def _unsettled(ws: Workspace, shared: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """(key, node, size, comp) of the keys of more than two nodes, not all of one component."""
-    marked = shared.join(labels, "node", "left").select("key", "node", "size", F.coalesce("comp", "node").alias("comp"))
+    """The rows ``(key, node, ...)`` of the keys of more than two nodes, not all of one component, with their component."""
+    marked = shared.join(labels, "node", "left").select(*shared.columns, F.coalesce("comp", "node").alias("comp"))
     keys = marked.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
     return ws.write(marked.join(keys, "key"), name)
 

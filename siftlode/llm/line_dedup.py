@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,12 @@ _LEAD = tv.table([0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0])
 LONGEST, LEAST, RARE = 6, 4, 8
 #: Lines that the guesses come from, about, their words at most, bits of the words' places, and how many of the lines make a run a common one.
 SAMPLE, WIDEST, BITS, COMMON = 20_000, 1_000, 20, 8
-#: Parts that the keys are worked on in, one after another, at most, the lines that make another part worth while, and steps of a doubling in which frequencies are told.
-PARTS, PART, STEPS = 6, 50_000, 16
+#: Steps of a doubling in which frequencies are told.
+STEPS = 16
+#: Words of the lines for each bucket of keys, keys that are packed at a time, and the mark of a place in a line that is not known.
+BUCKET, PACKED, NOWHERE = 1 << 21, 1 << 20, 0xFFFF
+#: Members of a key whose pairs are all made where the keys meet, those whose pairs are all held against sketches, and bits of a sketch.
+FEW, MANY, SKETCH = 16, 1024, 256
 _PLACE = _U(0x9E3779B97F4A7C15)
 
 
@@ -131,8 +136,13 @@ def _runs(h: np.ndarray, left: np.ndarray, rate: np.ndarray, guess: Guess):
 
 def line_keys(words: np.ndarray, numbers: np.ndarray, guess: Guess) -> tuple[np.ndarray, np.ndarray]:
     """(line, key) of lines given by their words' 32-bit hashes, one line after another, and numbers of words; by line."""
+    return placed_keys(words, numbers, guess)[:2]
+
+
+def placed_keys(words: np.ndarray, numbers: np.ndarray, guess: Guess) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same with the place of the key's first word in its line, ``NOWHERE`` if the line has the run more than once or far behind."""
     if not len(words):
-        return np.empty(0, np.int64), np.empty(0, _U)
+        return np.empty(0, np.int64), np.empty(0, _U), np.empty(0, np.int64)
     h, ends = _spread(words), np.cumsum(numbers)
     line_of = np.repeat(np.arange(len(numbers)), numbers)
     rate = guess.rate[(h >> _U(64 - BITS)).astype(np.int64)]
@@ -152,19 +162,19 @@ def line_keys(words: np.ndarray, numbers: np.ndarray, guess: Guess) -> tuple[np.
     late = np.arange(len(place)) >= len(place) - len(more)
     line = line_of[place]
     order = np.lexsort((rank.astype(_U) << _U(44) | key >> _U(20), line))
-    line, key, worth, late = line[order], key[order], worth[order], late[order]
+    line, key, worth, late, place = line[order], key[order], worth[order], late[order], place[order]
+    again = (line[1:] == line[:-1]) & (key[1:] == key[:-1])
+    place = np.minimum(place - (ends - numbers)[line], NOWHERE)
+    place[(np.append(again, False) | np.append(False, again))[: len(place)]] = NOWHERE
     before = lambda x: (c := np.cumsum(x)) - x - np.append(0, c)[np.searchsorted(line, np.arange(len(numbers)))][line]
     # single words of the last kind touch the runs before them, so that they count with the other single words alone
     own = np.where(late, 60 * (before(late.astype(np.int64)) + alone[line]) <= 60 * edits[line], before(np.where(late, 0, worth)) <= 60 * edits[line])
-    own &= numbers[line] >= LEAST
-    return line[own], key[own]
+    own &= (numbers[line] >= LEAST) & ~np.append(False, again)[: len(line)]
+    return line[own], key[own], place[own]
 
 
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, text_key, line_no, node, words, form) per line of at least ``min_words`` words.
-
-    node hashes the form; the form's words as 32-bit hashes stand with one of the equal lines of about a mebibyte of text.
-    """
+    """(doc_id, text_key, line_no, node) per line of at least ``min_words`` words; node hashes the form."""
 
     def run(batches):
         for b in batches:
@@ -172,19 +182,45 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
                 own = np.flatnonzero(words >= min_words)
                 if not len(own):
                     continue
-                owner, number, at, words = owner[own], number[own], at[own], words[own]
-                node = _nodes(h, at, words)
-                one = np.zeros(len(node), bool)
-                one[np.unique(node, return_index=True)[1]] = True
-                size = np.where(one, words, 0)
-                ends = np.cumsum(size)
-                flat = h[np.repeat(at - (ends - size), size) + np.arange(ends[-1])]
-                form = pa.Array.from_buffers(pa.binary(), len(node), [pa.array(one).buffers()[1], pa.py_buffer((4 * np.append(0, ends)).astype("<i4")), pa.py_buffer((flat >> _U(32)).astype("<u4"))])
-                rows = pa.array(owner + lo)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(number), pa.array(tv.signed(node)), pa.array(words), form], names)
+                rows = pa.array(owner[own] + lo)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(number[own]), pa.array(tv.signed(_nodes(h, at[own], words[own])))], ["doc_id", "text_key", "line_no", "node"])
+
+    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, line_no long, node long")
+
+
+def form_table(docs: DataFrame, min_words: int) -> DataFrame:
+    """(node, words, form, sketch) of one of the equal lines of about a mebibyte of text: the form's words as 32-bit hashes, and a bit for each word that changes with it."""
+
+    def run(batches):
+        for b in batches:
+            for _, _, _, _, at, words, h in _lines(b.column(2)):
+                own = np.flatnonzero(words >= min_words)
+                if not len(own):
+                    continue
+                node, one = np.unique(_nodes(h, at[own], words[own]), return_index=True)
+                at, words = at[own][one], words[own][one]
+                ends = np.cumsum(words)
+                flat = (h[np.repeat(at - (ends - words), words) + np.arange(ends[-1])] >> _U(32)).astype("<u4")
+                form = pa.Array.from_buffers(pa.binary(), len(node), [None, pa.py_buffer((4 * np.append(0, ends)).astype("<i4")), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([pa.array(tv.signed(node)), pa.array(words), form, _sketches(flat, words)], ["node", "words", "form", "sketch"])
+
+    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "node long, words long, form binary, sketch binary")
+
 
-    names = ["doc_id", "text_key", "line_no", "node", "words", "form"]
-    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, line_no long, node long, words long, form binary")
+def _sketches(words: np.ndarray, numbers: np.ndarray) -> pa.Array:
+    """Of lines given by their words: a word that is added or taken away changes one bit."""
+    out, ends, lo = [], np.cumsum(numbers), 0
+    for lo in range(0, len(numbers), 1024):
+        n = len(numbers[lo : lo + 1024])
+        own = words[ends[lo] - numbers[lo] : ends[lo + n - 1]]
+        at = np.repeat(np.arange(n) * SKETCH, numbers[lo : lo + n]) + (own.astype(np.int64) * 0x9E3779B1 >> 20) % SKETCH
+        out.append(np.packbits(np.bincount(at, minlength=n * SKETCH).astype(np.uint8) & 1))
+    return pa.Array.from_buffers(pa.binary(), len(numbers), [None, pa.py_buffer((SKETCH // 8 * np.arange(len(numbers) + 1)).astype("<i4")), pa.py_buffer(np.concatenate(out))])
+
+
+def _bits(column: pa.Array) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(x.as_py() for x in column), "<u8").reshape(len(column), SKETCH // 64)
 
 
 def _flat(forms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -200,25 +236,187 @@ def guessed(forms: DataFrame, nodes: int) -> Guess:
     return Guess.of(*_flat(rows.column(0).combine_chunks()), every)
 
 
-def keyed(forms: DataFrame, guess: Guess, parts: int) -> DataFrame:
-    """(node, size, part, keys) of forms, a row per part of the keys."""
+def keyed(forms: DataFrame, guess: Guess, buckets: int) -> DataFrame:
+    """(bucket, base, common, keys, rest): the keys of forms, packed by bucket; those that many lines are known to share go to any bucket."""
     told = forms.sparkSession.sparkContext.broadcast((guess.rate, guess.total, guess.common))
+    names = ["bucket", "base", "common", "keys", "rest"]
+
+    def packed(base: int, parts: list, own: Guess, turn: int):
+        line, key, place, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+        common = own.knows(key)
+        bucket = ((key >> _U(48)) * _U(buckets) >> _U(16)).astype(np.uint16)
+        for often in (False, True):
+            mine = np.flatnonzero(common == often)
+            if not len(mine):
+                continue
+            if often:
+                cut, which = np.array([0, len(mine)]), [turn % buckets]
+            else:
+                mine = mine[np.argsort(bucket[mine], kind="stable")]
+                there = bucket[mine]
+                cut = np.append(np.flatnonzero(np.append(True, there[1:] != there[:-1])), len(there))
+                which = there[cut[:-1]].tolist()
+            rows = []
+            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                at = mine[lo:hi]
+                step = np.diff(line[at], prepend=0).astype("<u2")
+                rest = step.tobytes() + size[at].astype("<u4").tobytes() + place[at].astype("<u2").tobytes()
+                k = key[at]
+                rows.append((k.astype("<u4").tobytes() + (k >> _U(32)).astype("<u2").tobytes() + ((k >> _U(48)).astype("<u2").tobytes() if often else b""), zstandard.compress(rest, 1)))
+            keys, rest = (pa.array(x, pa.binary()) for x in zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(np.full(len(which), base)), pa.array(np.full(len(which), often)), keys, rest], names)
 
     def run(batches):
         own = Guess(*told.value[:2])
         own.common = told.value[2]
+        base, after, parts, number, turn = 0, -1, [], 0, 0
         for b in batches:
-            for lo, hi, *_ in tv.chunks(b.column(2), 4 << 20):
+            for lo, hi, *_ in tv.chunks(b.column(1), 4 << 20):
                 piece = b.slice(lo, hi - lo)
-                words, number = _flat(piece.column(2))
-                line, key = line_keys(words, number, own)
-                part = (key >> _U(32)) % _U(parts)
-                for p in range(parts):
-                    mine = part == _U(p)
-                    keys = tv.list_array(tv.signed(key[mine]), np.bincount(line[mine], minlength=len(number)), pa.int64())
-                    yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(np.full(len(number), p, np.int32)), keys], ["node", "size", "part", "keys"])
+                ids = np.asarray(piece.column(0))
+                words, size = _flat(piece.column(1))
+                line, key, place = placed_keys(words, size, own)
+                # ids stand in the rows as what they are beyond the first, so that they must follow one another
+                for first, last in _consecutive(ids):
+                    if parts and (ids[first] != after or number > PACKED or ids[last] - base > 0xFFFF):
+                        yield from packed(base, parts, own, turn)
+                        parts, number, turn = [], 0, turn + 1
+                    if not parts:
+                        base, turn = int(ids[first]), turn or int(ids[first]) % buckets
+                    after = ids[last] + 1
+                    l, r = np.searchsorted(line, [first, last + 1])
+                    parts.append((ids[line[l:r]] - base, key[l:r], place[l:r], size[line[l:r]]))
+                    number += r - l
+        if parts:
+            yield from packed(base, parts, own, turn)
+
+    return forms.select("id", "form").mapInArrow(run, "bucket int, base long, common boolean, keys binary, rest binary")
+
+
+def _consecutive(ids: np.ndarray):
+    """First and last place of the stretches of ids that follow one another, of no more than 2**15."""
+    cut = np.flatnonzero(np.append(True, np.diff(ids) != 1))
+    for lo, hi in zip(cut.tolist(), np.append(cut[1:], len(ids)).tolist(), strict=True):
+        for at in range(lo, hi, 1 << 15):
+            yield at, min(hi, at + (1 << 15)) - 1
+
+
+def _places(row: dict) -> tuple[np.ndarray, ...]:
+    """(key, node, size, place) of a packed row."""
+    rest = zstandard.decompress(row["rest"])
+    n = len(rest) // 8
+    key = np.frombuffer(row["keys"], "<u4", n).astype(_U) | np.frombuffer(row["keys"], "<u2", n, 4 * n).astype(_U) << _U(32)
+    key |= (np.frombuffer(row["keys"], "<u2", n, 6 * n) if row["common"] else np.full(n, row["bucket"])).astype(_U) << _U(48)
+    node = row["base"] + np.cumsum(np.frombuffer(rest, "<u2", n).astype(np.int64))
+    return key, node, np.frombuffer(rest, "<u4", n, 2 * n).astype(np.int64), np.frombuffer(rest, "<u2", n, 6 * n).astype(np.int64)
+
+
+def _room(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """Edits that the bound allows between lines of so many words."""
+    return np.floor(np.maximum(n, m) * (1 - similarity) + 1e-9).astype(np.int64)
+
+
+def _pairs(key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float, bits: np.ndarray | None = None, comp: np.ndarray | None = None):
+    """Pairs of places, by key: two members of one key, of different components, where lengths, places of the key and sketches leave room for their edits."""
+    at, d = np.arange(len(key)), 1
+    while len(at):
+        at = at[at + d < len(key)]
+        at = at[key[at] == key[at + d]]
+        x = at if comp is None else at[comp[at] != comp[at + d]]
+        y = x + d
+        room, unlike = _room(size[x], size[y], similarity), np.abs(size[x] - size[y])
+        shift = place[x] - place[y]
+        # edits before the key and behind it; where a place is not known, the lengths alone
+        least = np.where((place[x] == NOWHERE) | (place[y] == NOWHERE), unlike, np.abs(shift) + np.abs(size[x] - size[y] - shift))
+        own = np.flatnonzero((least <= room) & (node[x] != node[y]))
+        if bits is not None and len(own):
+            own = own[np.bitwise_count(bits[x[own]] ^ bits[y[own]]).sum(1) <= 2 * room[own] - unlike[own]]
+        if len(own):
+            yield x[own], y[own]
+        d += 1
+
+
+def met(packed: DataFrame, buckets: int, similarity: float) -> DataFrame:
+    """(key, a, b, size, place): the pairs of keys with few members, their key null, ``size`` 0 for those with a key's first member; the members ``a`` of keys with more, ``b`` null."""
+    names = ["key", "a", "b", "size", "place"]
+
+    def members(key, node, size, place):
+        return pa.RecordBatch.from_arrays([pa.array(tv.signed(key)), pa.array(node), pa.nulls(len(key), pa.int64()), pa.array(size), pa.array(place)], names)
+
+    def found(parts: list):
+        key, node, size, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((node, key))
+        key, node, size, place = key[order], node[order], size[order], place[order]
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        number = np.diff(start, append=len(key))
+        first, number = np.repeat(start, number), np.repeat(number, number)
+        for lo in range(0, len(large := np.flatnonzero(number > FEW)), 1 << 16):
+            own = large[lo : lo + (1 << 16)]
+            yield members(key[own], node[own], size[own], place[own])
+        few = np.flatnonzero((number > 1) & (number <= FEW))
+        first = first[few] == few
+        key, node, size, place = key[few], node[few], size[few], place[few]
+        every = [(node[x], node[y], ~first[x]) for x, y in _pairs(key, node, size, place, similarity)]
+        if every:
+            # members stand by node, so that a < b
+            a, b, later = (np.concatenate(x) for x in zip(*every, strict=True))
+            order = np.lexsort((later, b, a))
+            a, b, later = a[order], b[order], later[order]
+            new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+            a, b, later = a[new], b[new], later[new].astype(np.int64)
+            for lo in range(0, len(a), 1 << 16):
+                n = len(a[lo : lo + (1 << 16)])
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), *(pa.array(x[lo : lo + n]) for x in (a, b, later)), pa.nulls(n, pa.int64())], names)
+
+    def run(batches):
+        parts: dict[int, list] = {}
+        for b in batches:
+            for row in b.to_pylist():
+                places = _places(row)
+                if row["common"]:
+                    yield members(*places)
+                else:
+                    parts.setdefault(row["bucket"], []).append(places)
+        for bucket in list(parts):
+            yield from found(parts.pop(bucket))
 
-    return forms.select("node", "words", "form").mapInArrow(run, "node long, size long, part int, keys array<long>")
+    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "key long, a long, b long, size long, place long")
+
+
+def sketched(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the pairs of different components of rows ``(key, node, size, place, comp, sketch)``, those of a key one after another, whose sketches leave room for their edits."""
+
+    def found(table: pa.Table):
+        key, node, size, place, comp = (table.column(c).to_numpy() for c in range(5))
+        bits = _bits(table.column(5).combine_chunks())
+        for x, y in _pairs(key, node, size, place, similarity, bits, comp):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[x], node[y])), pa.array(np.maximum(node[x], node[y]))], ["a", "b"])
+
+    def run(batches):
+        kept = None
+        for b in batches:
+            table = pa.Table.from_batches([b] if kept is None else [*kept.to_batches(), b])
+            key = table.column(0).to_numpy()
+            # the last key may go on in the next batch
+            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            yield from found(table.slice(0, cut)) if cut else ()
+            kept = table.slice(cut)
+        if kept is not None and len(kept):
+            yield from found(kept)
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def sifted(rows: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the pairs of rows ``(a, b, na, nb, sa, sb)`` whose sizes and sketches leave room for their edits."""
+
+    def run(batches):
+        for b in batches:
+            n, m = np.asarray(b.column(2)), np.asarray(b.column(3))
+            unlike = np.bitwise_count(_bits(b.column(4)) ^ _bits(b.column(5))).sum(1)
+            yield b.select(["a", "b"]).filter(pa.array(unlike <= 2 * _room(n, m, similarity) - np.abs(n - m)))
+
+    return rows.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def edit_distance(a: list, b: list) -> int:
@@ -285,29 +483,49 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 1)
     if not 0.8 <= similarity <= 1:
         raise ValueError("the keys are made for similarities of 0.8 to 1")
     ws = Workspace(docs.sparkSession, "line-dedup")
-    raw = ws.write(line_table(docs, min_words), "raw")
-    forms = ws.write(raw.filter("form is not null").select("node", "words", "form").dropDuplicates(["node"]), "forms")
-    lines = ws.write(raw.select("doc_id", "text_key", "line_no", "node"), "lines")
-    ws.drop("raw")
+    forms = form_table(docs, max(min_words, LEAST)).dropDuplicates(["node"]).withColumn("id", F.monotonically_increasing_id())
+    forms = ws.write(forms, "forms")
     ws.settle()
+    lines = ws.write(line_table(docs, min_words), "lines")
     place = F.struct("doc_id", "text_key", "line_no")
     classes = lines.select("node", place.alias("place")).groupBy("node").agg(F.min("place").alias("first"), F.count("*").alias("n"))
 
+    def side(end: str, *columns) -> DataFrame:
+        return forms.select(F.col("id").alias(end), *(F.col(c).alias(name) for c, name in columns))
+
     def verify(pairs: DataFrame, step: str) -> DataFrame:
+        rows = pairs.join(side("a", ("words", "na"), ("sketch", "sa")), "a").join(side("b", ("words", "nb"), ("sketch", "sb")), "b")
+        near = ws.write(sifted(rows, similarity), f"near-{step}")
+        ws.settle()
         # all words of both, so that a pair is judged by edit similarity alone
-        left, right = (forms.select(F.col("node").alias(end), F.col("form").alias(f"{side}_form")) for end, side in (("a", "left"), ("b", "right")))
-        return similar(pairs.join(left, "a").join(right, "b").select("a", "b", "left_form", "right_form"), similarity)
+        rows = near.join(side("a", ("form", "left_form")), "a").join(side("b", ("form", "right_form")), "b")
+        return similar(rows.select("a", "b", "left_form", "right_form"), similarity)
 
     def fits(n, m):
         """No more edits than the bound allows, so no larger difference of lengths."""
         return F.abs(n - m) <= F.floor(F.greatest(n, m) * F.lit(1 - similarity) + 1e-9)
 
-    long = forms.filter(F.col("words") >= LEAST)
-    nodes = long.count()
-    number = max(1, min(PARTS, nodes // PART))
-    parts = ws.split(keyed(long, guessed(long, nodes), number), "keys", "part", number)
-    members = {name: part.select(F.explode("keys").alias("key"), "node", "size") for name, part in parts.items()}
-    labels = link_all(ws, members, verify, fits)
+    nodes, words = forms.agg(F.count("*"), F.sum("words")).first()
+    buckets = max(1, min((1 << 16) - 1, (words or 0) // BUCKET))
+    shared = ws.write(met(keyed(forms, guessed(forms, nodes), buckets), buckets, similarity), "met")
+    ws.settle()
+    large = ws.write(shared.filter("b is null").select("key", F.col("a").alias("node"), "size", "place"), "large")
+    few = ws.write(shared.filter("b is not null").groupBy("a", "b").agg(F.min("size").alias("turn")), "few")
+    ws.drop("met")
+    ws.settle()
+
+    def others(rest: DataFrame) -> DataFrame:
+        """The pairs of different components of keys with many members; with very many, they are joined."""
+        number = rest.groupBy("key").agg(F.count("*").alias("n"))
+        many = rest.join(number.filter(F.col("n") <= MANY).select("key"), "key").join(side("node", ("sketch", "sketch")), "node")
+        many = sketched(many.select("key", "node", "size", "place", "comp", "sketch").repartition("key").sortWithinPartitions("key"), similarity)
+        most = ws.write(rest.join(number.filter(F.col("n") > MANY).select("key"), "key"), "most").select("key", "node", "size", "comp")
+        both = most.toDF("key", "a", "na", "ca").join(most.toDF("key", "b", "nb", "cb"), "key")
+        return many.union(both.filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb"))).select("a", "b"))
+
+    labels = link_all(ws, large, few, others, verify, fits).join(side("node", ("node", "form_node")), "node").select(F.col("form_node").alias("node"), "comp")
+    labels = ws.write(labels, "labels")
+    ws.settle()
     ranked = classes.join(labels, "node", "left").filter("n > 1 or comp is not null").select("node", F.coalesce("comp", "node").alias("comp"), "first")
     ranked = ws.write(ranked, "ranked")
     keep = ranked.join(ranked.groupBy("comp").agg(F.min("first").alias("keep")), "comp").select("node", "keep")
