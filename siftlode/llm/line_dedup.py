@@ -37,7 +37,7 @@ SAMPLE, WIDEST, BITS, COMMON = 20_000, 1_000, 20, 8
 #: Steps of a doubling in which frequencies are told.
 STEPS = 16
 #: Words of the lines for each bucket of keys, keys that are packed at a time, and the mark of a place in a line that is not known.
-BUCKET, PACKED, NOWHERE = 1 << 21, 1 << 20, 0xFFFF
+BUCKET, PACKED, NOWHERE = 1 << 20, 1 << 19, 0xFFFF
 #: Members of a key whose pairs are all made where the keys meet, those whose pairs are all held against sketches, and bits of a sketch.
 FEW, MANY, SKETCH = 16, 1024, 256
 _PLACE = _U(0x9E3779B97F4A7C15)
@@ -271,7 +271,7 @@ def keyed(forms: DataFrame, guess: Guess, buckets: int) -> DataFrame:
         own.common = told.value[2]
         base, after, parts, number, turn = 0, -1, [], 0, 0
         for b in batches:
-            for lo, hi, *_ in tv.chunks(b.column(1), 4 << 20):
+            for lo, hi, *_ in tv.chunks(b.column(1), 1 << 20):
                 piece = b.slice(lo, hi - lo)
                 ids = np.asarray(piece.column(0))
                 words, size = _flat(piece.column(1))
