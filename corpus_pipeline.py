@@ -20,7 +20,7 @@ from siftlode.llm.mixing import mixed_documents
 from siftlode.llm.ngram_join import one_of_each
 from siftlode.llm.packing import pack_documents
 from siftlode.llm.toxicity import fit, score
-from siftlode.llm.workspace import Workspace
+from siftlode.llm.workspace import Workspace, small_batches
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Verdicts at and above this score are toxic.
@@ -29,6 +29,7 @@ TOXIC = 0.7
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that score below the bound, unchanged; null and empty texts score like texts without a toxic word, and stay."""
+    small_batches(spark)
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs.select(*COLUMNS), model, passages=False).filter(F.col("score") < TOXIC).select(*COLUMNS)
 
@@ -52,6 +53,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all rows; a null or empty text is the end id alone."""
+    small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

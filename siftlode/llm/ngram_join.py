@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from siftlode.llm import textvec as tv
 from siftlode.llm.components import PART_BITS, link_components
-from siftlode.llm.workspace import Workspace, checked_join, fresh
+from siftlode.llm.workspace import Workspace, checked_join, fresh, small_batches
 
 _U = np.uint64
 #: Growth of the ladder of bands.
@@ -161,6 +161,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     node stands for the set, and is null for an empty one; row hashes id and text.
     """
     ws = Workspace(docs.sparkSession, "ngram-join")
+    small_batches(ws.spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # equal texts have equal sets, and a text's hash tells its row apart where ids are null or repeated
     base = base.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
