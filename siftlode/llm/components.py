@@ -134,9 +134,9 @@ def link_all(
 ) -> DataFrame:
     """Components of the nodes of which any two that link share a key: ``(node, comp)`` for the nodes that link with any other.
 
-    large: ``(key, node, size, place)`` of the keys with many members. few: ``(a, b, turn)``, the pairs of all other keys, of turn 0 those with a
+    large: ``(key, node, size)`` of the keys with many members. few: ``(a, b, turn)``, the pairs of all other keys, of turn 0 those with a
     key's first member. The members of a key meet its hub, the first, then two others, and those still apart all others: ``others`` has, from
-    ``(key, node, size, place, comp)``, the pairs of different components.
+    ``(key, node, size, comp)``, the pairs of different components.
     """
     pair = (F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     near = fits(F.col("size"), F.col("hub_size"))

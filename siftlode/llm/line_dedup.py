@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from siftlode.llm import textvec as tv
 from siftlode.llm.components import link_all
 from siftlode.llm.toxicity import WORD
-from siftlode.llm.workspace import Workspace, checked_join, fresh
+from siftlode.llm.workspace import Workspace, checked_join, fresh, small_batches
 
 _U = np.uint64
 #: First bytes of characters that may be words of their own.
@@ -38,6 +38,8 @@ SAMPLE, WIDEST, BITS, COMMON = 20_000, 1_000, 20, 8
 STEPS = 16
 #: Words of the lines for each bucket of keys, keys that are packed at a time, and the mark of a place in a line that is not known.
 BUCKET, PACKED, NOWHERE = 1 << 20, 1 << 19, 0xFFFF
+#: Rows that are held against one another at a time, and pairs of them that are kept.
+WAITING, AT_ONCE = 1 << 14, 1 << 18
 #: Members of a key whose pairs are all made where the keys meet, those whose pairs are all held against sketches, and bits of a sketch.
 FEW, MANY, SKETCH = 16, 1024, 256
 _PLACE = _U(0x9E3779B97F4A7C15)
@@ -316,18 +318,22 @@ def _room(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
     return np.floor(np.maximum(n, m) * (1 - similarity) + 1e-9).astype(np.int64)
 
 
-def _pairs(key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float, bits: np.ndarray | None = None, comp: np.ndarray | None = None):
-    """Pairs of places, by key: two members of one key, of different components, where lengths, places of the key and sketches leave room for their edits."""
+def _pairs(key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarray | None, similarity: float, bits: np.ndarray | None = None, comp: np.ndarray | None = None, side: np.ndarray | None = None):
+    """Pairs of places, by key: two members of one key, of different components and sides, where lengths, places of the key and sketches leave room for their edits."""
     at, d = np.arange(len(key)), 1
     while len(at):
         at = at[at + d < len(key)]
         at = at[key[at] == key[at + d]]
         x = at if comp is None else at[comp[at] != comp[at + d]]
+        if side is not None:
+            x = x[(side[x] < 0) | (side[x] != side[x + d])]
         y = x + d
         room, unlike = _room(size[x], size[y], similarity), np.abs(size[x] - size[y])
-        shift = place[x] - place[y]
-        # edits before the key and behind it; where a place is not known, the lengths alone
-        least = np.where((place[x] == NOWHERE) | (place[y] == NOWHERE), unlike, np.abs(shift) + np.abs(size[x] - size[y] - shift))
+        least = unlike
+        if place is not None:
+            shift = place[x] - place[y]
+            # edits before the key and behind it; where a place is not known, the lengths alone
+            least = np.where((place[x] == NOWHERE) | (place[y] == NOWHERE), unlike, np.abs(shift) + np.abs(size[x] - size[y] - shift))
         own = np.flatnonzero((least <= room) & (node[x] != node[y]))
         if bits is not None and len(own):
             own = own[np.bitwise_count(bits[x[own]] ^ bits[y[own]]).sum(1) <= 2 * room[own] - unlike[own]]
@@ -336,12 +342,29 @@ def _pairs(key: np.ndarray, node: np.ndarray, size: np.ndarray, place: np.ndarra
         d += 1
 
 
+def _grouped(first: np.ndarray, number: np.ndarray, node: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, node, size), each once: the members of keys by their key's first member and the power of two that its number of members reaches.
+
+    Lines that are like one another share many keys, which so become one group or two, with all of their pairs.
+    """
+    key = tv.mix(first.astype(_U) << _U(6) | np.log2(number).astype(_U))
+    order = np.lexsort((node, key))
+    key, node, size = key[order], node[order], size[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))[: len(key)]
+    return key[new], node[new], size[new]
+
+
 def met(packed: DataFrame, buckets: int, similarity: float) -> DataFrame:
-    """(key, a, b, size, place): the pairs of keys with few members, their key null, ``size`` 0 for those with a key's first member; the members ``a`` of keys with more, ``b`` null."""
-    names = ["key", "a", "b", "size", "place"]
+    """(key, a, b, size): the pairs of keys with few members, their key null, ``size`` 0 for those with a key's first member; the members ``a`` of keys with more, ``b`` null.
+
+    Keys with more members that have the first of them in common, and about as many, are one.
+    """
+    names = ["key", "a", "b", "size"]
 
-    def members(key, node, size, place):
-        return pa.RecordBatch.from_arrays([pa.array(tv.signed(key)), pa.array(node), pa.nulls(len(key), pa.int64()), pa.array(size), pa.array(place)], names)
+    def members(key, node, size):
+        for lo in range(0, len(key), 1 << 16):
+            k, a, n = (x[lo : lo + (1 << 16)] for x in (key, node, size))
+            yield pa.RecordBatch.from_arrays([pa.array(tv.signed(k)), pa.array(a), pa.nulls(len(k), pa.int64()), pa.array(n)], names)
 
     def found(parts: list):
         key, node, size, place = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -350,9 +373,8 @@ def met(packed: DataFrame, buckets: int, similarity: float) -> DataFrame:
         start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         number = np.diff(start, append=len(key))
         first, number = np.repeat(start, number), np.repeat(number, number)
-        for lo in range(0, len(large := np.flatnonzero(number > FEW)), 1 << 16):
-            own = large[lo : lo + (1 << 16)]
-            yield members(key[own], node[own], size[own], place[own])
+        large = np.flatnonzero(number > FEW)
+        yield from members(*_grouped(node[first[large]], number[large], node[large], size[large]))
         few = np.flatnonzero((number > 1) & (number <= FEW))
         first = first[few] == few
         key, node, size, place = key[few], node[few], size[few], place[few]
@@ -366,7 +388,7 @@ def met(packed: DataFrame, buckets: int, similarity: float) -> DataFrame:
             a, b, later = a[new], b[new], later[new].astype(np.int64)
             for lo in range(0, len(a), 1 << 16):
                 n = len(a[lo : lo + (1 << 16)])
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), *(pa.array(x[lo : lo + n]) for x in (a, b, later)), pa.nulls(n, pa.int64())], names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), *(pa.array(x[lo : lo + n]) for x in (a, b, later))], names)
 
     def run(batches):
         parts: dict[int, list] = {}
@@ -374,35 +396,51 @@ def met(packed: DataFrame, buckets: int, similarity: float) -> DataFrame:
             for row in b.to_pylist():
                 places = _places(row)
                 if row["common"]:
-                    yield members(*places)
+                    yield from members(*places[:3])
                 else:
                     parts.setdefault(row["bucket"], []).append(places)
         for bucket in list(parts):
             yield from found(parts.pop(bucket))
 
-    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "key long, a long, b long, size long, place long")
+    return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "key long, a long, b long, size long")
 
 
 def sketched(rows: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): the pairs of different components of rows ``(key, node, size, place, comp, sketch)``, those of a key one after another, whose sketches leave room for their edits."""
+    """(a, b): the pairs of different components of rows ``(key, left, node, size, comp, sketch)``, those of a key one after another, whose lengths and sketches leave room for their edits.
+
+    left: null, or on which side the row is, of a key whose pairs are those of two sides.
+    """
 
     def found(table: pa.Table):
-        key, node, size, place, comp = (table.column(c).to_numpy() for c in range(5))
-        bits = _bits(table.column(5).combine_chunks())
-        for x, y in _pairs(key, node, size, place, similarity, bits, comp):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[x], node[y])), pa.array(np.maximum(node[x], node[y]))], ["a", "b"])
+        key, node, size, comp = (table.column(c).to_numpy() for c in ("key", "node", "size", "comp"))
+        side = table.column("left").fill_null(-1).to_numpy()
+        bits = _bits(table.column("sketch").combine_chunks())
+        parts, number = [], 0
+        for x, y in _pairs(key, node, size, None, similarity, bits, comp, side):
+            parts.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])]))
+            number += len(x)
+            if number > AT_ONCE:
+                parts, number = [np.unique(np.concatenate(parts, 1), axis=1)], 0
+                if parts[0].shape[1] > AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(e) for e in parts.pop()], ["a", "b"])
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(e) for e in np.unique(np.concatenate(parts, 1), axis=1)], ["a", "b"])
 
     def run(batches):
-        kept = None
+        kept: list = []
         for b in batches:
-            table = pa.Table.from_batches([b] if kept is None else [*kept.to_batches(), b])
+            kept.append(b)
+            if sum(map(len, kept)) < WAITING:
+                continue
+            table = pa.Table.from_batches(kept)
             key = table.column(0).to_numpy()
             # the last key may go on in the next batch
-            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            yield from found(table.slice(0, cut)) if cut else ()
-            kept = table.slice(cut)
-        if kept is not None and len(kept):
-            yield from found(kept)
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield from found(table.slice(0, cut))
+                kept = table.slice(cut).to_batches()
+        if sum(map(len, kept)):
+            yield from found(pa.Table.from_batches(kept))
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -483,7 +521,9 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 1)
     if not 0.8 <= similarity <= 1:
         raise ValueError("the keys are made for similarities of 0.8 to 1")
     ws = Workspace(docs.sparkSession, "line-dedup")
-    forms = form_table(docs, max(min_words, LEAST)).dropDuplicates(["node"]).withColumn("id", F.monotonically_increasing_id())
+    small_batches(ws.spark)
+    # dealt first: few equal ones are left in a task, so that sorting them before they are sent is lost work
+    forms = form_table(docs, max(min_words, LEAST)).repartition("node").dropDuplicates(["node"]).withColumn("id", F.monotonically_increasing_id())
     forms = ws.write(forms, "forms")
     ws.settle()
     lines = ws.write(line_table(docs, min_words), "lines")
@@ -497,8 +537,10 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 1)
         rows = pairs.join(side("a", ("words", "na"), ("sketch", "sa")), "a").join(side("b", ("words", "nb"), ("sketch", "sb")), "b")
         near = ws.write(sifted(rows, similarity), f"near-{step}")
         ws.settle()
+        wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        some = checked_join(forms, wanted, "id", "left_semi", 32 * near.count()).select("id", "form")
         # all words of both, so that a pair is judged by edit similarity alone
-        rows = near.join(side("a", ("form", "left_form")), "a").join(side("b", ("form", "right_form")), "b")
+        rows = near.join(some.toDF("a", "left_form"), "a").join(some.toDF("b", "right_form"), "b")
         return similar(rows.select("a", "b", "left_form", "right_form"), similarity)
 
     def fits(n, m):
@@ -509,19 +551,21 @@ def repeated_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 1)
     buckets = max(1, min((1 << 16) - 1, (words or 0) // BUCKET))
     shared = ws.write(met(keyed(forms, guessed(forms, nodes), buckets), buckets, similarity), "met")
     ws.settle()
-    large = ws.write(shared.filter("b is null").select("key", F.col("a").alias("node"), "size", "place"), "large")
+    large = ws.write(shared.filter("b is null").select("key", F.col("a").alias("node"), "size").distinct(), "large")
     few = ws.write(shared.filter("b is not null").groupBy("a", "b").agg(F.min("size").alias("turn")), "few")
     ws.drop("met")
     ws.settle()
 
     def others(rest: DataFrame) -> DataFrame:
-        """The pairs of different components of keys with many members; with very many, they are joined."""
+        """The pairs of different components of keys with many members; those with very many are dealt to blocks, which meet two by two."""
         number = rest.groupBy("key").agg(F.count("*").alias("n"))
-        many = rest.join(number.filter(F.col("n") <= MANY).select("key"), "key").join(side("node", ("sketch", "sketch")), "node")
-        many = sketched(many.select("key", "node", "size", "place", "comp", "sketch").repartition("key").sortWithinPartitions("key"), similarity)
-        most = ws.write(rest.join(number.filter(F.col("n") > MANY).select("key"), "key"), "most").select("key", "node", "size", "comp")
-        both = most.toDF("key", "a", "na", "ca").join(most.toDF("key", "b", "nb", "cb"), "key")
-        return many.union(both.filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb"))).select("a", "b"))
+        many = rest.join(number, "key").join(side("node", ("sketch", "sketch")), "node")
+        blocks = F.ceil(F.col("n") / MANY).cast("int")
+        many = many.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        pair = F.when(blocks == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+        left = F.when(F.col("own") != F.col("other"), (F.col("own") < F.col("other")).cast("int"))
+        many = many.select(pair.alias("key"), left.alias("left"), "node", "size", "comp", "sketch")
+        return sketched(many.repartition("key").sortWithinPartitions("key"), similarity)
 
     labels = link_all(ws, large, few, others, verify, fits).join(side("node", ("node", "form_node")), "node").select(F.col("form_node").alias("node"), "comp")
     labels = ws.write(labels, "labels")
